@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+LAYERS = ("bronze", "silver", "gold", "served")
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -71,6 +73,11 @@ class Lake:
         """The published version; an unpublished table is an error, not a stale read."""
         return self.spark.table(self.qualified(layer, table))
 
+    def unregister(self) -> None:
+        """Take the lake's databases out of the catalog; written data stays."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database(layer)} CASCADE")
+
     def database(self, layer: str) -> str:
         return f"{self.name}_{layer}"
 

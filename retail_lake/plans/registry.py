@@ -1,18 +1,21 @@
 """Named queries over the supplied tables: ``name -> (spark, sf_dir) -> DataFrame``."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_lake.functions.columns import month_key
 from retail_lake.operators.conform import REASON
 from retail_lake.operators.keyed import unmatched
 from retail_lake.plans import marts, silver, star
-from retail_lake.plans.jobs import Thresholds, quality_results
+from retail_lake.plans.jobs import SERVED, Thresholds, quality_results, run
+from retail_lake.plans.lake import Lake, new_run_id, scratch_folder, write_table
 from retail_lake.plans.reports import report
-from retail_lake.schemas import BATCH, CORRUPT, INGESTED, SOURCE_FILE
+from retail_lake.schemas import BATCH, INGESTED, RAW_CUSTOMERS, RAW_ORDERS, SOURCE_FILE
 from retail_lake.sources import samples
-from retail_lake.sources.landing import with_lineage
+from retail_lake.sources.landing import read_csv, read_json_lines, with_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,7 +95,54 @@ def _bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("row_count"), F.count(INGESTED).alias("stamped"))
         for name, df in raw.items()
     ]
-    return per_source[0].unionByName(per_source[1]).unionByName(per_source[2])
+    return reduce(DataFrame.unionByName, per_source)
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers conformed from CSV files."""
+    path = f"{scratch_folder(spark, 'csv_roundtrip')}/customers.csv"
+    samples.write_csv_export(samples.customers(spark, sf_dir), path)
+    return silver.customers(read_csv(spark, path, RAW_CUSTOMERS))
+
+
+def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines conformed from nested JSON Lines files."""
+    path = f"{scratch_folder(spark, 'json_roundtrip')}/orders.json"
+    samples.write_json_export(samples.order_events(spark, sf_dir), path)
+    return silver.order_items(read_json_lines(spark, path, RAW_ORDERS))
+
+
+def _layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every published table after a full run from landing files."""
+    folder = scratch_folder(spark, "layer_roundtrip")
+    samples.write_landing(spark, sf_dir, f"{folder}/landing")
+    lake = Lake(spark, f"{folder}/lake", name=f"roundtrip_{new_run_id()}")
+    run(lake, f"{folder}/landing", limits=Thresholds(min_order_items=1))
+    published = {
+        "silver": ("customers", "products", "order_items"),
+        "served": SERVED,
+    }
+    counts = [
+        lake.table(layer, name)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "row_count")
+        for layer, names in published.items()
+        for name in names
+    ]
+    lake.unregister()
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _partition_pruned_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals of March 1997, reading that month's partition only."""
+    path = f"{scratch_folder(spark, 'order_items')}/order_items"
+    day = F.col("order_date")
+    lines = _lines(spark, sf_dir).withColumn("order_month", month_key(day))
+    write_table(lines, path, partition_by=("order_month",))
+    month = spark.read.parquet(path).where(F.col("order_month") == 199703)
+    return month.groupBy(day).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("net_amount").alias("net_amount")
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -120,4 +170,8 @@ QUERIES: dict[str, Query] = {
     "dq_orphans": _dq_orphans,
     "quarantine": _quarantine,
     "bronze_audit": _bronze_audit,
+    "csv_roundtrip": _csv_roundtrip,
+    "json_roundtrip": _json_roundtrip,
+    "layer_roundtrip": _layer_roundtrip,
+    "partition_pruned_month": _partition_pruned_month,
 }

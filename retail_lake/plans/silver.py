@@ -1,5 +1,7 @@
 """Silver tables: raw rows typed, tidied, deduplicated and checked row by row."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,7 +131,4 @@ def quarantine(raw_products: DataFrame, raw_orders: DataFrame) -> DataFrame:
         "order_items": lines,
     }
     tagged = [df.select(F.lit(source).alias("source"), REASON, RECORD) for source, df in parts.items()]
-    whole = tagged[0]
-    for other in tagged[1:]:
-        whole = whole.unionByName(other)
-    return whole
+    return reduce(DataFrame.unionByName, tagged)

@@ -131,7 +131,9 @@ def order_events(spark: SparkSession, sf_dir: str, max_items: int = MAX_ITEMS) -
         F.col("p_retailprice").cast(MONEY).alias("unit_price"),
         F.col("l_discount").cast(RATE).alias("discount_pct"),
     )
-    documents = lines.groupBy("l_orderkey", "part").agg(
+    # Shuffled flat: gathering before the shuffle would only sort more, as the
+    # lines of an order lie anywhere in the input.
+    documents = lines.repartition("l_orderkey", "part").groupBy("l_orderkey", "part").agg(
         F.sort_array(F.collect_list(F.struct(*position, item.alias("item"))))
         .getField("item")
         .alias("items")
@@ -167,3 +169,22 @@ def order_events(spark: SparkSession, sf_dir: str, max_items: int = MAX_ITEMS) -
         F.lit(None).cast("string").alias(CORRUPT),
         BATCH,
     )
+
+
+def write_csv_export(df: DataFrame, path: str) -> None:
+    """Delimited text with a header, one subfolder per batch, untidy text kept."""
+    df.write.partitionBy(BATCH).csv(
+        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+def write_json_export(events: DataFrame, path: str) -> None:
+    """One order event per line, one subfolder per batch."""
+    events.drop(CORRUPT).write.partitionBy(BATCH).json(path)
+
+
+def write_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Lay the sample data out as the source systems export it."""
+    write_csv_export(customers(spark, sf_dir), f"{landing}/customers.csv")
+    write_csv_export(products(spark, sf_dir), f"{landing}/products.csv")
+    write_json_export(order_events(spark, sf_dir), f"{landing}/orders.json")
