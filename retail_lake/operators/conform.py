@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 REASON = "reject_reason"
 RECORD = "record"
+_RAW = "_raw"
+
+
+def raw_column(name: str) -> Column:
+    """A column of the raw row, for use in a rejection."""
+    return F.col(f"{_RAW}.{name}")
 
 
 @dataclass(frozen=True)
@@ -28,7 +34,8 @@ class Conformed:
 
 @dataclass(frozen=True)
 class Rules:
-    """``columns`` are computed from the raw row, ``rejects`` from the result.
+    """``columns`` are computed from the raw row; ``rejects`` are predicates on the
+    result, or on the raw row through ``raw_column``.
 
     The first matching rejection names the reason. A predicate that is NULL does
     not reject, so each rule says itself what an unknown value means.
@@ -40,12 +47,12 @@ class Rules:
     def apply(self, df: DataFrame) -> Conformed:
         typed = df.select(
             *[column.alias(name) for name, column in self.columns.items()],
-            F.struct(*df.columns).alias("_raw"),
+            F.struct(*df.columns).alias(_RAW),
         )
         reason = F.lit(None).cast("string")
         for name, rejected in reversed(self.rejects.items()):
             reason = F.when(rejected, name).otherwise(reason)
-        record = F.when(F.col(REASON).isNotNull(), F.to_json("_raw"))
+        record = F.when(F.col(REASON).isNotNull(), F.to_json(_RAW))
         return Conformed(
-            typed.withColumn(REASON, reason).withColumn(RECORD, record).drop("_raw")
+            typed.withColumn(REASON, reason).withColumn(RECORD, record).drop(_RAW)
         )

@@ -54,7 +54,7 @@ def quality_results(tables: Mapping[str, DataFrame], limits: Thresholds) -> Data
 def build_bronze(lake: Lake, landing: str, run_id: str, batch_id: int = 1) -> list[Staged]:
     """Land the source exports as they are, with lineage."""
     tables = landing_tables(lake.spark, landing, batch_id)
-    staged = [lake.stage("bronze", name, df, run_id) for name, df in tables.items()]
+    staged = lake.stage_all("bronze", tables, run_id)
     lake.publish(staged)
     return staged
 
@@ -62,45 +62,46 @@ def build_bronze(lake: Lake, landing: str, run_id: str, batch_id: int = 1) -> li
 def build_silver(lake: Lake, run_id: str, limits: Thresholds = Thresholds()) -> list[Staged]:
     """Conform bronze, keep what was rejected, and publish if the gate lets it."""
     raw = {name: lake.table("bronze", name) for name in ("customers", "products", "orders")}
-    customers = lake.stage("silver", "customers", silver.customers(raw["customers"]), run_id)
-    products = lake.stage("silver", "products", silver.products(raw["products"]), run_id)
-    accepted, rejected = _stage_lines(lake, raw["orders"], run_id)
-    others = {
+    tables = {
+        "customers": silver.customers(raw["customers"]),
+        "products": silver.products(raw["products"]),
+        "order_items": _labelled_lines(raw["orders"]),
         "rejected_products": silver.rejected_products(raw["products"]),
-        "rejected_events": silver.rejected_events(raw["orders"]),
+        "unreadable_events": silver.unreadable_events(raw["orders"]),
     }
-    kept = [lake.stage("silver", name, df, run_id) for name, df in others.items()]
+    layout = {"order_items": ("verdict", "order_month")}
+    written = {s.table: s for s in lake.stage_all("silver", tables, run_id, layout)}
+    written |= _by_verdict(written["order_items"])
 
-    passed = {s.table: lake.load(s) for s in (customers, products, accepted)}
-    results = quality_results(passed, limits)
-    checks = lake.stage("silver", "quality", results, run_id)
+    checked = {name: lake.load(written[name]) for name in ("customers", "products", "order_items")}
+    checks = lake.stage("silver", "quality", quality_results(checked, limits), run_id)
     expect.gate(lake.load(checks).collect(), limits.fail_on_error)
 
-    staged = [customers, products, accepted, rejected, *kept, checks]
+    staged = [*written.values(), checks]
     lake.publish(staged)
     return staged
 
 
-def _stage_lines(lake: Lake, raw_orders: DataFrame, run_id: str) -> tuple[Staged, Staged]:
-    """Write accepted and rejected order lines in one pass, as partitions of one
-    folder; accepted ones by month, so that a month's readers open its files only."""
+def _labelled_lines(raw_orders: DataFrame) -> DataFrame:
+    """Accepted and rejected order lines together, so that one pass writes both:
+    accepted ones by month, so that a month's readers open its files only."""
     lines = silver.conformed_lines(silver.first_events(raw_orders)).labelled
-    labelled = lines.withColumns(
+    return lines.withColumns(
         {
             "verdict": F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected"),
             "order_month": month_key(F.col("order_date")),
         }
     )
-    written = lake.stage("silver", "order_items", labelled, run_id, ("verdict", "order_month"))
-    accepted = replace(
-        written,
-        columns=tuple(c for c in written.columns if c not in (REASON, RECORD, "verdict")),
-        where="verdict = 'accepted'",
-    )
-    rejected = replace(
-        written, table="rejected_items", columns=(REASON, RECORD), where="verdict = 'rejected'"
-    )
-    return accepted, rejected
+
+
+def _by_verdict(written: Staged) -> dict[str, Staged]:
+    sound = tuple(c for c in written.columns if c not in (REASON, RECORD, "verdict"))
+    return {
+        "order_items": replace(written, columns=sound, where="verdict = 'accepted'"),
+        "rejected_items": replace(
+            written, table="rejected_items", columns=(REASON, RECORD), where="verdict = 'rejected'"
+        ),
+    }
 
 
 def build_gold(lake: Lake, run_id: str) -> list[Staged]:
@@ -112,21 +113,20 @@ def build_gold(lake: Lake, run_id: str) -> list[Staged]:
         "dim_date": star.dim_date(order_items),
         "fact_sales": star.fact_sales(order_items),
     }
-    staged = {name: lake.stage("gold", name, df, run_id) for name, df in tables.items()}
-    written = {name: lake.load(s) for name, s in staged.items()}
+    staged = lake.stage_all("gold", tables, run_id)
+    written = {s.table: lake.load(s) for s in staged}
     orphans = unmatched(written["fact_sales"], written["dim_product"], "product_id")
     results = {**build_marts(written["fact_sales"], written), "orphan_products": orphans}
-    marts = [lake.stage("gold", name, df, run_id) for name, df in results.items()]
-    everything = [*staged.values(), *marts]
-    lake.publish(everything)
-    return everything
+    staged += lake.stage_all("gold", results, run_id)
+    lake.publish(staged)
+    return staged
 
 
 def refresh_marts(lake: Lake, run_id: str) -> list[Staged]:
     """Recompute the marts alone, from the published star schema."""
     star_tables = {name: lake.table("gold", name) for name in (*DIMENSIONS, "fact_sales")}
     marts = build_marts(star_tables["fact_sales"], star_tables)
-    staged = [lake.stage("gold", name, df, run_id) for name, df in marts.items()]
+    staged = lake.stage_all("gold", marts, run_id)
     lake.publish(staged)
     return staged
 

@@ -55,13 +55,10 @@ class Mart:
         # Aggregate before the join: the dimension has one row per key, so the
         # groups are the same, and a hot key meets the join as a single row.
         totals = self._aggregate(sales, (self.key,))
-        if self.top is None:
-            return totals.join(dimension, self.key, "left")
-        best = totals.orderBy(F.desc_nulls_last(self.top.by), self.key).limit(self.top.n)
-        # Both broadcasts hold at most n rows: the dimension, which may be huge,
-        # is only streamed past the best keys and never shuffled.
-        described = dimension.join(F.broadcast(best.select(self.key)), self.key, "left_semi")
-        return best.join(F.broadcast(described), self.key, "left")
+        if self.top is not None:
+            best = (F.desc_nulls_last(self.top.by), F.col(self.key))
+            totals = totals.orderBy(*best).limit(self.top.n)
+        return totals.join(dimension, self.key, "left")
 
 
 DAILY_SALES = Mart(

@@ -178,7 +178,7 @@ SELECT 'products' AS source,
 FROM raw_products WHERE coalesce(TRY_CAST(unit_price AS DECIMAL(18,2)), 0) <= 0
 GROUP BY ALL
 UNION ALL
-SELECT 'orders', 'no_items', count(*) FROM orders
+SELECT 'order_items', 'no_items', count(*) FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem JOIN part ON l_partkey = p_partkey
                   WHERE l_orderkey = o_orderkey)
 HAVING count(*) > 0

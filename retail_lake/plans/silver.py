@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.functions import columns as c
-from retail_lake.operators.conform import REASON, RECORD, Conformed, Rules
+from retail_lake.operators.conform import REASON, RECORD, Conformed, Rules, raw_column
 from retail_lake.operators.keyed import first_by_key
 from retail_lake.schemas import BATCH, CORRUPT, INGESTED
 
@@ -74,9 +74,10 @@ def conformed_lines(events: DataFrame) -> Conformed:
     """Order events exploded to one typed row per item, with derived amounts.
 
     ``order_item_id`` is made of the event key and the item's position, since an
-    order may list the same product twice.
+    order may list the same product twice. An event without items yields one
+    rejected row, so that it is accounted for by the same pass.
     """
-    exploded = events.select("*", F.posexplode("items").alias("position", "item")).drop("items")
+    exploded = events.select("*", F.posexplode_outer("items").alias("position", "item")).drop("items")
     typed = exploded.select(
         *exploded.columns,
         F.concat_ws("-", *_event_key(events), (F.col("position") + 1).cast("string")).alias("order_item_id"),
@@ -97,6 +98,7 @@ def conformed_lines(events: DataFrame) -> Conformed:
             "order_date": F.to_date("ordered_at"),
         },
         rejects={
+            "no_items": raw_column("position").isNull(),
             "unparsable_quantity": F.col("quantity").isNull(),
             "non_positive_quantity": F.col("quantity") <= 0,
             "unparsable_price": F.col("unit_price").isNull(),
@@ -111,24 +113,19 @@ def order_items(raw: DataFrame) -> DataFrame:
     return conformed_lines(first_events(raw)).accepted
 
 
-def rejected_events(raw: DataFrame) -> DataFrame:
-    """Events that yield no line at all: unreadable, or without items."""
-    as_record = F.to_json(F.struct(*raw.columns)).alias(RECORD)
-    unreadable = raw.where(F.col(CORRUPT).isNotNull()).select(
-        F.lit("unreadable_event").alias(REASON), as_record
+def unreadable_events(raw: DataFrame) -> DataFrame:
+    """Documents that could not be parsed, as the reader kept them."""
+    return raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit("unreadable_event").alias(REASON), F.col(CORRUPT).alias(RECORD)
     )
-    # size() of a NULL array is NULL under ANSI and -1 otherwise: neither is positive.
-    barren = first_events(raw).where(~F.coalesce(F.size("items") > 0, F.lit(False)))
-    return unreadable.unionByName(barren.select(F.lit("no_items").alias(REASON), as_record))
 
 
 def quarantine(raw_products: DataFrame, raw_orders: DataFrame) -> DataFrame:
     """Everything turned away on the way to silver: source, reason, original row."""
-    lines = conformed_lines(first_events(raw_orders)).rejected
     parts = {
         "products": rejected_products(raw_products),
-        "orders": rejected_events(raw_orders),
-        "order_items": lines,
+        "orders": unreadable_events(raw_orders),
+        "order_items": conformed_lines(first_events(raw_orders)).rejected,
     }
     tagged = [df.select(F.lit(source).alias("source"), REASON, RECORD) for source, df in parts.items()]
     return reduce(DataFrame.unionByName, tagged)
