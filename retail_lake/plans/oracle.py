@@ -199,16 +199,17 @@ UNION ALL
 SELECT 'orders.json', 2, count(*), count(*) FROM orders WHERE o_orderkey % 25 = 0 HAVING count(*) > 0"""
 
 _LAYERS = """
-SELECT 'silver' AS layer, 'customers' AS "table", count(*) AS row_count FROM clean_customers
-UNION ALL SELECT 'silver', 'products', count(*) FROM clean_products
-UNION ALL SELECT 'silver', 'order_items', count(*) FROM lines
-UNION ALL SELECT 'served', 'dim_customer', count(*) FROM clean_customers
-UNION ALL SELECT 'served', 'dim_product', count(*) FROM clean_products
-UNION ALL SELECT 'served', 'dim_date', count(*) FROM dates
-UNION ALL SELECT 'served', 'fact_sales', count(*) FROM fact
-UNION ALL SELECT 'served', 'mart_daily_sales', count(*) FROM daily
-UNION ALL SELECT 'served', 'mart_sales_by_category', count(*) FROM by_category
-UNION ALL SELECT 'served', 'mart_top_customers', count(*) FROM top_customers"""
+SELECT 'silver' AS layer, 'customers' AS "table", count(*) AS row_count,
+  CAST(NULL AS DECIMAL(38,2)) AS amount FROM clean_customers
+UNION ALL SELECT 'silver', 'products', count(*), sum(unit_price) FROM clean_products
+UNION ALL SELECT 'silver', 'order_items', count(*), sum(net_amount) FROM lines
+UNION ALL SELECT 'served', 'dim_customer', count(*), NULL FROM clean_customers
+UNION ALL SELECT 'served', 'dim_product', count(*), sum(unit_price) FROM clean_products
+UNION ALL SELECT 'served', 'dim_date', count(*), NULL FROM dates
+UNION ALL SELECT 'served', 'fact_sales', count(*), sum(net_amount) FROM fact
+UNION ALL SELECT 'served', 'mart_daily_sales', count(*), sum(revenue) FROM daily
+UNION ALL SELECT 'served', 'mart_sales_by_category', count(*), sum(revenue) FROM by_category
+UNION ALL SELECT 'served', 'mart_top_customers', count(*), sum(lifetime_value) FROM top_customers"""
 
 ORACLES = {
     "clean_customers": _CLEAN_CUSTOMERS,

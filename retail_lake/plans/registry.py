@@ -114,21 +114,25 @@ def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every published table after a full run from landing files."""
+    """Rows, and the sum of the main amount, of every published table after a full
+    run from landing files."""
     folder = scratch_folder(spark, "layer_roundtrip")
     samples.write_landing(spark, sf_dir, f"{folder}/landing")
     lake = Lake(spark, f"{folder}/lake", name=f"roundtrip_{new_run_id()}")
     run(lake, f"{folder}/landing", limits=Thresholds(min_order_items=1))
     published = {
-        "silver": ("customers", "products", "order_items"),
-        "served": SERVED,
+        "silver": {"customers": None, "products": "unit_price", "order_items": "net_amount"},
+        "served": dict(zip(SERVED, (None, "unit_price", None, "net_amount", "revenue", "revenue", "lifetime_value"))),
     }
     counts = [
         lake.table(layer, name)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "row_count")
-        for layer, names in published.items()
-        for name in names
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.col(amount) if amount else F.lit(None)).cast("decimal(38,2)").alias("amount"),
+        )
+        .select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "row_count", "amount")
+        for layer, tables in published.items()
+        for name, amount in tables.items()
     ]
     lake.unregister()
     return reduce(DataFrame.unionByName, counts)

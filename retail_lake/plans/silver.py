@@ -66,7 +66,7 @@ def rejected_products(raw: DataFrame) -> DataFrame:
 
 def first_events(raw: DataFrame) -> DataFrame:
     """Order events as first delivered; redelivered and unreadable ones are gone."""
-    readable = raw.where(F.col(CORRUPT).isNull()) if CORRUPT in raw.columns else raw
+    readable = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
     return first_by_key(readable, _event_key(raw))
 
 

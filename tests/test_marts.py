@@ -139,6 +139,32 @@ def test_hot_keys_leave_each_task_as_few_rows(spark):
     assert tuple(hot) == ("P1", 10_000)
 
 
+def test_hot_product_is_split_where_the_dimension_is_too_large_to_broadcast(spark):
+    lines = spark.range(300_000).selectExpr(
+        "concat('O', id) AS order_id", "if(id % 3 = 0, 'P0', concat('P', id % 1000)) AS product_id",
+        "'completed' AS status", "cast(1 AS int) AS quantity", "cast(2 AS decimal(18,2)) AS net_amount",
+    )
+    products = spark.range(1000).selectExpr("concat('P', id) AS product_id", "concat('K', id % 7) AS category")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        mart = marts.SALES_BY_CATEGORY.build(lines.repartition(8), products)
+        plan = final_plan(mart)
+        units = mart.agg(F.sum("units_sold")).first()[0]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert units == 300_000
+
+
 def test_no_query_multiplies_tables(spark):
     for name in ("mart_daily", "mart_category", "mart_top_customers", "dq_orphans", "quarantine"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
