@@ -1,6 +1,6 @@
 """Column rules as data: typed output columns plus named reasons to reject a row."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -44,10 +44,11 @@ class Rules:
     columns: Mapping[str, Column]
     rejects: Mapping[str, Column] = field(default_factory=dict)
 
-    def apply(self, df: DataFrame) -> Conformed:
+    def apply(self, df: DataFrame, record: Sequence[str] = ()) -> Conformed:
+        """``record`` names the columns that make up the raw row, if not all do."""
         typed = df.select(
             *[column.alias(name) for name, column in self.columns.items()],
-            F.struct(*df.columns).alias(_RAW),
+            F.struct(*(record or df.columns)).alias(_RAW),
         )
         reason = F.lit(None).cast("string")
         for name, rejected in reversed(self.rejects.items()):

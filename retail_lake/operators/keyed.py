@@ -1,4 +1,4 @@
-"""One row per key, and the best rows overall, under orders without ties."""
+"""One row per key under an order without ties, and keys a dimension lacks."""
 
 from collections.abc import Sequence
 
@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from retail_lake.schemas import BATCH, INGESTED
 
 
-def arrival_order(df: DataFrame) -> list[Column]:
-    """First delivered first: batch, ingest time, then the whole content.
+def arrival_order(df: DataFrame, keys: Sequence[str] = ()) -> list[Column]:
+    """First delivered first: batch, ingest time, then the whole content but ``keys``.
 
     All rows of one load share a batch and an ingest time, so without the
     content the winner among them would be arbitrary. Rows that still tie are
     copies of each other.
     """
     arrival = [c for c in (BATCH, INGESTED) if c in df.columns]
-    content = [c for c in df.columns if c not in arrival]
+    content = [c for c in df.columns if c not in (*arrival, *keys)]
     return [F.col(c).asc_nulls_last() for c in [*arrival, *content]]
 
 
@@ -27,15 +27,10 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | N
     (``WindowGroupLimit``), so a key with any number of copies sends one row
     per task and never gathers in one.
     """
-    window = Window.partitionBy(*keys).orderBy(*(order or arrival_order(df)))
+    window = Window.partitionBy(*keys).orderBy(*(order or arrival_order(df, keys)))
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys held by more than one row, with their number of rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-
-
 def unmatched(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Fact keys missing from a dimension, with the number of rows they hold.
 

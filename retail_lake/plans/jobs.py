@@ -137,13 +137,12 @@ def serve(lake: Lake) -> dict[str, str]:
     The views show gold itself, so nothing is copied and nothing can go stale; a
     missing gold table is an error.
     """
-    spark, served = lake.spark, lake.database("served")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {served} LOCATION '{lake.root}/_catalog/served'")
-    for name in SERVED:
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {served}.{name} AS SELECT * FROM {lake.qualified('gold', name)}"
-        )
-    return {name: f"{served}.{name}" for name in SERVED}
+    lake.create_database("served")
+    views = {name: lake.qualified("served", name) for name in SERVED}
+    for name, view in views.items():
+        gold = lake.qualified("gold", name)
+        lake.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {gold}")
+    return views
 
 
 def run(

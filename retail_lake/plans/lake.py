@@ -59,14 +59,15 @@ class Lake:
         layer: str,
         tables: Mapping[str, DataFrame],
         run_id: str,
-        partition_by: Mapping[str, Sequence[str]] = {},
+        partition_by: Mapping[str, Sequence[str]] | None = None,
     ) -> list[Staged]:
         """Write independent tables side by side, so that the last tasks of a large
         one leave no executors idle while small ones wait."""
         stage = inheritable_thread_target(self.spark)(self.stage)
+        layout = partition_by or {}
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
             writes = [
-                pool.submit(stage, layer, name, df, run_id, partition_by.get(name, ()))
+                pool.submit(stage, layer, name, df, run_id, layout.get(name, ()))
                 for name, df in tables.items()
             ]
             return [write.result() for write in writes]
@@ -81,13 +82,18 @@ class Lake:
         for staged in tables:
             shown = ", ".join(f"`{c}`" for c in staged.columns)
             condition = f" WHERE {staged.where}" if staged.where else ""
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(staged.layer)}"
-                           f" LOCATION '{self.root}/_catalog/{staged.layer}'")
+            self.create_database(staged.layer)
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW {self.qualified(staged.layer, staged.table)}"
                 f" AS SELECT {shown} FROM {self.fmt}.`{staged.path}`{condition}"
             )
 
+    def create_database(self, layer: str) -> None:
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}"
+            f" LOCATION '{self.root}/_catalog/{layer}'"
+        )
+
     def table(self, layer: str, table: str) -> DataFrame:
         """The published version; an unpublished table is an error, not a stale read."""
         return self.spark.table(self.qualified(layer, table))

@@ -105,7 +105,7 @@ def conformed_lines(events: DataFrame) -> Conformed:
             "non_positive_price": F.col("unit_price") <= 0,
             "amount_overflow": F.col("gross_amount").isNull(),
         },
-    ).apply(typed)
+    ).apply(typed, record=exploded.columns)
 
 
 def order_items(raw: DataFrame) -> DataFrame:
