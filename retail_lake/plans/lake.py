@@ -3,7 +3,7 @@
 Every run writes each table into a folder of its own, so readers keep seeing the
 last published version until ``publish`` repoints a catalog view to the new one.
 Repointing is a metastore operation; no file is moved or overwritten, which holds
-on object stores too, and a failed or lost job leaves nothing half visible.
+on object stores too, and no reader ever sees a half-written table.
 """
 
 import tempfile
