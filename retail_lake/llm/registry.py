@@ -5,11 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.llm.bpe import op10_bpe_round_trip
+from retail_lake.llm.exact import OP8_SQL, op8_exact_duplicates
+from retail_lake.llm.minhash import op2_minhash_near_duplicates
 from retail_lake.llm.packing import op7_packing
+from retail_lake.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_near_duplicates": op2_minhash_near_duplicates,
+    "op5_toxicity": op5_toxicity,
     "op7_packing": op7_packing,
+    "op8_exact_duplicates": op8_exact_duplicates,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_exact_duplicates": OP8_SQL}
