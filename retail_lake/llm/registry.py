@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.llm.bpe import op10_bpe_round_trip
+from retail_lake.llm.embeddings import op3_embedding_near_duplicates
 from retail_lake.llm.exact import OP8_SQL, op8_exact_duplicates
 from retail_lake.llm.licenses import op6_license_scan
 from retail_lake.llm.minhash import op2_minhash_near_duplicates
@@ -17,6 +18,7 @@ from retail_lake.llm.warc import OP9_SQL, op9_warc_round_trip
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rendezvous_shards": op1_rendezvous_shards,
     "op2_minhash_near_duplicates": op2_minhash_near_duplicates,
+    "op3_embedding_near_duplicates": op3_embedding_near_duplicates,
     "op4_url_cascade": op4_url_cascade,
     "op5_toxicity": op5_toxicity,
     "op6_license_scan": op6_license_scan,
@@ -27,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_embedding_near_duplicates": op3_embedding_near_duplicates,
     "op4_url_cascade": OP4_SQL,
     "op8_exact_duplicates": OP8_SQL,
     "op9_warc_round_trip": OP9_SQL,
