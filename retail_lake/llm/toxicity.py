@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from retail_lake.llm.common import pieces, renamed, stored, table
 from retail_lake.llm.shingles import mixed
 
-POSITIVE, NEGATIVE = 4000, 8000
+POSITIVE, NEGATIVE = 2000, 4000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.7
 #: A feature occurs in so many toxic sample documents and such a share of them at
@@ -114,26 +114,25 @@ class Model:
 
 def _candidates(toxic: list[Bags], other: list[Bags]) -> np.ndarray:
     """Feature keys frequent among toxic texts, and more so than among the others."""
-
-    def counted(parts: list[Bags], among: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        seen = []
-        for part in parts:
-            of = part.text[part.sentence]
-            for t in np.unique(of):
-                keys = np.unique(part.keys[of == t])
-                seen.append(keys if among is None else keys[np.isin(keys, among)])
-        return np.unique(np.concatenate([*seen, np.zeros(0, np.uint64)]), return_counts=True)
-
     texts = [sum(len(np.unique(p.text)) for p in parts) for parts in (toxic, other)]
-    keys, n = counted(toxic, None)
+    seen = [np.unique(keys) for part in toxic for keys in np.split(part.keys, _turns(part))]
+    keys, n = np.unique(np.concatenate([*seen, np.zeros(0, np.uint64)]), return_counts=True)
     often = (n >= max(LEAST_DOCS, LEAST_SHARE * texts[0])) & (keys > 0)
     keys, n = keys[often], n[often]
-    there, m = counted(other, keys)
-    against = np.zeros(len(keys))
-    against[np.searchsorted(keys, there)] = m
+    model, against = Model(keys, np.zeros(len(keys))), np.zeros(len(keys))
+    for part in other:
+        sentence, feature = model.known(part)
+        once = np.unique(part.text[sentence] * max(len(keys), 1) + feature) % max(len(keys), 1)
+        against += np.bincount(once, minlength=len(keys))
     return keys[n / max(texts[0], 1) >= LIFT * (against + 1) / max(texts[1], 1)]
 
 
+def _turns(part: Bags) -> np.ndarray:
+    """Words at which another text begins."""
+    of = part.text[part.sentence]
+    return np.flatnonzero(of[1:] != of[:-1]) + 1
+
+
 def fit(toxic: list[Bags], other: list[Bags]) -> Model:
     """Weights, none negative, that make the labels likeliest (Adam, with a
     proximal step for the L1 penalty that leaves few features)."""
