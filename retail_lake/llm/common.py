@@ -68,3 +68,9 @@ def pieces(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int
     for first, last in runs(offsets, most):
         part = offsets[first : last + 1]
         yield first, last, part - part[0], data[part[0] : part[-1]]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Ascending distinct values, by sorting (``np.unique`` hashes, which is far slower here)."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values

@@ -20,15 +20,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_lake.llm.common import pieces, renamed, stored, table
+from retail_lake.llm.common import distinct, pieces, renamed, stored, table
 from retail_lake.llm.shingles import mixed
 
-POSITIVE, NEGATIVE = 2000, 4000
+POSITIVE, NEGATIVE = 2000, 8000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.7
 #: A feature occurs in so many toxic sample documents and such a share of them at
 #: least, and is so many times as frequent among them as among the others.
-LEAST_DOCS, LEAST_SHARE, LIFT = 3, 0.002, 4.0
+LEAST_DOCS, LEAST_SHARE, LIFT = 3, 0.002, 8.0
 #: Log-odds of a sentence without features, against which scores are measured.
 BIAS = -4.0
 PREFIXES = (4, 5, 6)
@@ -91,17 +91,17 @@ class Model:
     weights: np.ndarray
 
     def __post_init__(self):
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[self.keys >> np.uint64(48)] = True
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self.keys >> np.uint64(42)] = True
 
     def known(self, found: Bags) -> tuple[np.ndarray, np.ndarray]:
         """Distinct ``(sentence, feature number)`` of the features the model knows."""
-        word, kind = np.nonzero(self.maybe[found.keys >> np.uint64(48)])
+        word, kind = np.nonzero(self.maybe[found.keys >> np.uint64(42)])
         key = found.keys[word, kind]
         at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
         hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
         size = max(len(self.keys), 1)
-        both = np.unique(found.sentence[word[hit]] * size + at[hit])
+        both = distinct(found.sentence[word[hit]] * size + at[hit])
         return both // size, both % size
 
     def scores(self, found: Bags) -> tuple[np.ndarray, np.ndarray]:
@@ -114,15 +114,15 @@ class Model:
 
 def _candidates(toxic: list[Bags], other: list[Bags]) -> np.ndarray:
     """Feature keys frequent among toxic texts, and more so than among the others."""
-    texts = [sum(len(np.unique(p.text)) for p in parts) for parts in (toxic, other)]
-    seen = [np.unique(keys) for part in toxic for keys in np.split(part.keys, _turns(part))]
+    texts = [sum(len(distinct(p.text)) for p in parts) for parts in (toxic, other)]
+    seen = [distinct(keys.ravel()) for part in toxic for keys in np.split(part.keys, _turns(part))]
     keys, n = np.unique(np.concatenate([*seen, np.zeros(0, np.uint64)]), return_counts=True)
     often = (n >= max(LEAST_DOCS, LEAST_SHARE * texts[0])) & (keys > 0)
     keys, n = keys[often], n[often]
     model, against = Model(keys, np.zeros(len(keys))), np.zeros(len(keys))
     for part in other:
         sentence, feature = model.known(part)
-        once = np.unique(part.text[sentence] * max(len(keys), 1) + feature) % max(len(keys), 1)
+        once = distinct(part.text[sentence] * max(len(keys), 1) + feature) % max(len(keys), 1)
         against += np.bincount(once, minlength=len(keys))
     return keys[n / max(texts[0], 1) >= LIFT * (against + 1) / max(texts[1], 1)]
 
