@@ -107,7 +107,7 @@ class Bins:
         """Place all that is left: longest first, each where it leaves least room."""
         room: list[tuple[int, int]] = []
         content: list[list[tuple]] = []
-        for piece in sorted(self.leftovers(), key=lambda p: (-p[2], p)):
+        for piece in sorted(self.leftovers(), key=lambda p: -p[2]):
             at = bisect_left(room, (piece[2], -1))
             if at < len(room):
                 left, n = room.pop(at)
@@ -162,7 +162,8 @@ def _refill(level: int, last: bool, capacity: int):
     def run(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         group = key[0].as_py()
         bins = Bins(capacity, _sequence_base(level, group))
-        for piece in sorted(zip(*(rows.column(n).to_pylist() for n in _NAMES), strict=True), key=lambda p: tuple((x is None, x or 0) for x in p)):
+        pieces = zip(*(rows.column(n).to_pylist() for n in _NAMES), strict=True)
+        for piece in sorted(pieces, key=lambda p: (p[0] is None, p[0] or 0, *p[1:])):
             bins.add(piece)
         if last:
             bins.best_fit()

@@ -10,8 +10,9 @@ Building it groups the distinct keys of the corpus; looking up reads the levels,
 which are broadcast after a check of their size (``MAX_BYTES``).
 """
 
+import hashlib
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_lake.llm.common import renamed, stored, table
+from retail_lake.llm.shingles import mixed
 
 #: Bits a key on the first level, and on the others.
 FIRST_BITS, NEXT_BITS = 10, 4
@@ -44,16 +46,16 @@ BLOCKED_HOSTS = (
     "free-bets.example.net",
     "spam-farm.example.org",
 )
-_GOLDEN = 0x9E3779B97F4A7C15
 
 
 @dataclass(frozen=True)
 class Level:
     words: np.ndarray  # of 64 bits
     hashes: int
+    number: int
 
     def places(self, h1: np.ndarray, h2: np.ndarray) -> Iterator[np.ndarray]:
-        return places(h1, h2, len(self.words) * 64, self.hashes)
+        return places(h1, h2, len(self.words) * 64, self.hashes, self.number)
 
     def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         found = np.ones(len(h1), bool)
@@ -62,11 +64,12 @@ class Level:
         return found
 
 
-def places(h1: np.ndarray, h2: np.ndarray, bits: int, hashes: int) -> Iterator[np.ndarray]:
-    """Bit numbers of keys given by two 64-bit hashes."""
+def places(h1: np.ndarray, h2: np.ndarray, bits: int, hashes: int, number: int) -> Iterator[np.ndarray]:
+    """Bit numbers of keys given by two 64-bit hashes. They differ from level to level,
+    so that two keys mistaken for each other on one are told apart on another."""
+    base = mixed(h1 + np.uint64(number))
     for i in range(hashes):
-        shift = np.uint64(_GOLDEN * i * i % (1 << 64))
-        yield (h1 + np.uint64(i) * (h2 | np.uint64(1)) + shift) % np.uint64(bits)
+        yield (base + np.uint64(i) * (h2 | np.uint64(1))) % np.uint64(bits)
 
 
 @dataclass(frozen=True)
@@ -85,15 +88,18 @@ class Cascade:
         return listed
 
 
-def _hashes(key: Column) -> tuple[Column, Column]:
-    return F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(1)).alias("h2")
+def hashes(keys: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every key."""
+    digests = b"".join(hashlib.blake2b(key.encode("utf-8", "replace"), digest_size=16).digest() for key in keys)
+    both = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def _unsigned(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
 
 
-def _level(keys: DataFrame, count: int, bits_a_key: int) -> Level:
+def _level(keys: DataFrame, count: int, bits_a_key: int, number: int) -> Level:
     """A filter of the keys ``(h1, h2)``. Each task sets its own bits; only words with
     a bit set come together, so what reaches the driver is bounded by the filter."""
     size = max(1, math.ceil(count * bits_a_key / 64))
@@ -104,7 +110,7 @@ def _level(keys: DataFrame, count: int, bits_a_key: int) -> Level:
     def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h1, h2 = _unsigned(batch.column("h1")), _unsigned(batch.column("h2"))
-            at = np.unique(np.concatenate([*places(h1, h2, size * 64, hashes), np.zeros(0, np.uint64)]))
+            at = np.unique(np.concatenate([*places(h1, h2, size * 64, hashes, number), np.zeros(0, np.uint64)]))
             word, first = np.unique(at >> np.uint64(6), return_index=True)
             mask = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
             yield pa.RecordBatch.from_pydict({"word": pa.array(word.view(np.int64)), "mask": pa.array(mask.view(np.int64))})
@@ -113,23 +119,42 @@ def _level(keys: DataFrame, count: int, bits_a_key: int) -> Level:
     found = found.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     words = np.zeros(size, np.uint64)
     words[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    return Level(words, hashes)
+    return Level(words, hashes, number)
+
+
+_HASHED = "h1 bigint, h2 bigint"
+
+
+def _hashed(keys: Iterable[str]) -> pa.RecordBatch:
+    h1, h2 = hashes(keys)
+    return pa.RecordBatch.from_pydict({"h1": pa.array(h1.view(np.int64)), "h2": pa.array(h2.view(np.int64))})
+
+
+def hashed_keys(keys: DataFrame) -> DataFrame:
+    """The hashes of the column ``key``, each distinct one of a batch once; NULL keys
+    are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _hashed({k for k in batch.column("key").to_pylist() if k is not None})
+
+    return keys.select("key").mapInArrow(run, _HASHED)
 
 
 def build(universe: DataFrame, listed: DataFrame) -> Cascade:
-    """The cascade for the keys of ``universe``, of which those of ``listed`` are listed.
+    """The cascade for the hashed keys of ``universe``, of which those of ``listed``
+    are listed.
 
-    Both have one column ``key``; repeats are fine and NULL keys are ignored. Listed
-    keys outside the universe count as part of it. Nothing listed gives a cascade
-    that lists nothing.
+    Repeats are fine. Listed keys outside the universe count as part of it. Nothing
+    listed gives a cascade that lists nothing.
     """
-    marked = universe.select("key", F.lit(False).alias("listed")).unionByName(listed.select("key", F.lit(True).alias("listed")))
-    keys = stored(marked.where("key is not null").groupBy("key").agg(F.max("listed").alias("listed")).select("listed", *_hashes(F.col("key"))), "keys")
+    marked = universe.select("h1", "h2", F.lit(False).alias("listed")).unionByName(listed.select("h1", "h2", F.lit(True).alias("listed")))
+    keys = stored(marked.groupBy("h1", "h2").agg(F.max("listed").alias("listed")), "keys")
     inside, outside = keys.where("listed"), keys.where("not listed")
     levels: list[Level] = []
     used = 0
     while count := inside.count():
-        levels.append(level := _level(inside, count, NEXT_BITS if levels else FIRST_BITS))
+        levels.append(level := _level(inside, count, NEXT_BITS if levels else FIRST_BITS, len(levels)))
         used += level.words.nbytes
         if used > MAX_BYTES or len(levels) > 200:
             raise ValueError("the cascade is too large to broadcast")
@@ -158,15 +183,13 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def candidates(host: Column, path: Column, lengths: Sequence[int]) -> Column:
+def candidates(host: str, path: str, lengths: Sequence[int]) -> list[str]:
     """Every key that could list a URL: the host and its parent domains, each with
     the path's start of each of the lengths; the longest first, then the longest host."""
-    labels = F.split(host, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    starts = F.array_compact(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(set(lengths))]))
-    keys = F.flatten(F.transform(domains, lambda d: F.transform(starts, lambda s: F.struct(
-        (F.length(d) + F.length(s)).alias("length"), F.length(d).alias("host"), F.concat(d, s).alias("key")))))
-    return F.transform(F.sort_array(keys, asc=False), lambda k: k.getField("key"))
+    labels = host.split(".")
+    domains = [".".join(labels[n:]) for n in range(len(labels))]
+    keys = {(len(d) + n, len(d), d + path[:n]) for d in domains for n in lengths if n <= len(path)}
+    return [key for *_, key in sorted(keys, reverse=True)]
 
 
 def judged(df: DataFrame, url: str, rules: Sequence[tuple[str, str]], blocked_hosts: Sequence[str]) -> DataFrame:
@@ -175,41 +198,43 @@ def judged(df: DataFrame, url: str, rules: Sequence[tuple[str, str]], blocked_ho
     block for a blocked host or its subdomains, and allow otherwise, for NULL and
     malformed URLs too."""
     spark = df.sparkSession
-    lengths = {len(r) - r.find("/") if "/" in r else 0 for _, r in rules} | {0}
-    parts = df.withColumns({"host": host(df[url]), "path": path(df[url])})
-    parts = parts.withColumn("_keys", candidates(F.col("host"), F.col("path"), sorted(lengths)))
-    universe = parts.select(F.explode("_keys").alias("key")).distinct()
-    listing = lambda keys: spark.createDataFrame([(k,) for k in keys], "key string")
+    lengths = sorted({len(r) - r.find("/") if "/" in r else 0 for _, r in rules} | {0})
+    parts = df.withColumns({"host": host(df[url]), "path": path(df[url])}).drop("rule", "verdict")
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            urls = set(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True))
+            yield _hashed({key for h, p in urls for key in candidates(h, p, lengths)})
+
+    universe = stored(parts.select("host", "path").mapInArrow(keys, _HASHED).distinct(), "url-keys")
+    listing = lambda keys: hashed_keys(spark.createDataFrame([(k,) for k in keys], "key string"))
     any_rule = build(universe, listing([r for _, r in rules]))
     blocking = build(universe, listing([r for a, r in rules if a == "block"] + list(blocked_hosts)))
     held = spark.sparkContext.broadcast((any_rule, blocking))
-    hashed = parts.withColumn("_h1", F.transform("_keys", lambda k: F.xxhash64(k))).withColumn("_h2", F.transform("_keys", lambda k: F.xxhash64(k, F.lit(1))))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule_of, blocked = held.value
         for batch in batches:
-            keys = batch.column("_keys")
-            counts = keys.value_lengths().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(batch)), counts)
-            flat = keys.flatten()
-            h1, h2 = _unsigned(batch.column("_h1").flatten()), _unsigned(batch.column("_h2").flatten())
+            found = [candidates(h, p, lengths) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+            flat = [key for keys in found for key in keys]
+            row = np.repeat(np.arange(len(found)), [len(keys) for keys in found])
+            h1, h2 = hashes(flat)
             hits = np.flatnonzero(rule_of.lists(h1, h2))
             ruled, first = np.unique(row[hits], return_index=True)  # the longest comes first
-            chosen = hits[first]
             bad = blocked.lists(h1, h2)
-            verdict = np.zeros(len(batch), bool)
-            verdict[row[bad]] = True
-            verdict[ruled] = bad[chosen]
-            rule = np.full(len(batch), -1)
-            rule[ruled] = chosen
-            columns = {n: batch.column(n) for n in batch.schema.names if not n.startswith("_")}
-            columns["rule"] = flat.take(pa.array(rule, mask=rule < 0))
-            columns["verdict"] = pa.array(np.where(verdict, "block", "allow").tolist(), pa.string())
+            block = np.zeros(len(found), bool)
+            block[row[bad]] = True
+            block[ruled] = bad[hits[first]]
+            rule: list[str | None] = [None] * len(found)
+            for n, at in zip(ruled.tolist(), hits[first].tolist(), strict=True):
+                rule[n] = flat[at]
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns["rule"] = pa.array(rule, pa.string())
+            columns["verdict"] = pa.array(["block" if b else "allow" for b in block.tolist()], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    fields = [f for f in parts.schema.fields if f.name not in ("_keys", "rule", "verdict")]
-    kind = T.StructType(fields + [T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
-    return hashed.drop("rule", "verdict").mapInArrow(judge, kind)
+    kind = T.StructType([*parts.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
+    return parts.mapInArrow(judge, kind)
 
 
 def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
