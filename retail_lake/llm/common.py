@@ -16,6 +16,8 @@ from retail_lake.plans.lake import scratch_folder
 
 #: Bytes of text that a task works on at once; a longer text is worked on alone.
 CHUNK_BYTES = 4 << 20
+#: Rows that a task works on at once.
+CHUNK_ROWS = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +55,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Consecutive rows ``[first, last)`` of about ``most`` bytes together, at least one row."""
+    """Consecutive rows ``[first, last)`` of about ``most`` bytes together and at most
+    ``CHUNK_ROWS``, at least one row."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
         last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), rows)
+        last = min(max(last, first + 1), first + CHUNK_ROWS, rows)
         yield first, last
         first = last
 

@@ -11,13 +11,18 @@ component settle their bucket; where a bucket still spans several components, it
 classes outside the largest one are compared with those of other components. Links
 inside a component decide nothing, so none that matters is left out. All links
 are confirmed on the full sets.
+
+Before texts are fetched, pairs are sifted without loss: every set has a bitmap of
+parities, in which each element flips one bit. Two bitmaps differ in no more bits
+than the sets differ in elements, so a pair whose bitmaps differ in more bits than
+similar sets of their sizes may differ in elements is none.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.llm.common import pieces, renamed, stored, table, text_bytes
@@ -28,7 +33,11 @@ BANDS = 32
 ROWS = 5
 #: A link has intersection / union of at least PERCENT / 100.
 PERCENT = 75
-_SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>"
+#: Bits of a set's parity bitmap.
+PARITIES = 2048
+#: Ids that may be broadcast to fetch texts (16 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+_SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, parity array<bigint>"
 
 
 def densified(bounds: np.ndarray, shingles: np.ndarray, bins: int) -> np.ndarray:
@@ -55,6 +64,14 @@ def densified(bounds: np.ndarray, shingles: np.ndarray, bins: int) -> np.ndarray
     return out
 
 
+def parities(bounds: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """A row of ``PARITIES`` bits, as 64-bit numbers, for each set."""
+    rows = len(bounds) - 1
+    bit = (shingles % np.uint64(PARITIES)).astype(np.int64) + np.repeat(np.arange(rows) * PARITIES, np.diff(bounds))
+    odd = (np.bincount(bit, minlength=rows * PARITIES) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(rows, PARITIES), axis=1, bitorder="little").view(np.int64)
+
+
 def signatures(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     """Set size, a 128-bit digest of the set, and its buckets. Sets of one or two
     shingles are similar to no other set, so they need no bucket."""
@@ -71,16 +88,23 @@ def signatures(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iter
             chosen = shingles[np.repeat(sizes > 2, sizes)]
             signature = densified(packed, chosen, bands * rows).reshape(len(some), bands, rows)
             keys = mixed((signature * place).sum(axis=2, dtype=np.uint64) + salt)
-            counts = np.where(sizes > 2, bands, 0)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(keys.ravel().view(np.int64))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(first, last - first), pa.array(sizes), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column("doc_id").slice(first, last - first),
+                    "n_shingles": pa.array(sizes),
+                    "d1": pa.array(d1.view(np.int64)),
+                    "d2": pa.array(d2.view(np.int64)),
+                    "bands": _lists(np.where(sizes > 2, bands, 0), keys),
+                    "parity": _lists(np.where(sizes > 2, PARITIES // 64, 0), parities(packed, chosen)),
+                }
             )
 
 
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel().view(np.int64)))
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs ``(a, b)`` whose full sets are similar enough. Rows of one ``a`` follow
     each other, so its set is made once for all of them."""
@@ -112,12 +136,26 @@ def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
             yield shingles[start:end]
 
 
+def may_link(one: str, other: str, percent: int) -> Column:
+    """Whether sets of the columns ``n_*`` and ``parity_*`` can be similar enough, by
+    their sizes and parity bitmaps. Sets of sizes n and m whose similarity reaches t
+    differ in at most (n + m) (1 - t) / (1 + t) elements."""
+    n, m = F.col(f"n_{one}"), F.col(f"n_{other}")
+    bits = sum(
+        (F.bit_count(F.get(f"parity_{one}", F.lit(i)).bitwiseXOR(F.get(f"parity_{other}", F.lit(i)))) for i in range(PARITIES // 64)),
+        F.lit(0),
+    )
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (bits * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct pairs ``(a, b)`` that are links. Only texts that occur in
     a pair are kept for it."""
     pairs = stored(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stored(docs.join(needed, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    needed = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
+    few = needed.count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(needed) if few else needed, "doc_id")
+    texts = stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     at = lambda end: texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}"))
     both = pairs.join(at("b"), "b").join(at("a"), "a").select("a", "b", "text_a", "text_b")
     return stored(both.mapInArrow(lambda x: _confirm(x, percent), "a bigint, b bigint"), "links")
@@ -138,21 +176,22 @@ def near_duplicates(
     classes = stored(
         signed.where("n_shingles > 0")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity")),
         "classes",
     )
     members = classes.where("rep is not null").select("rep", "n", F.explode("bands").alias("bucket"))
     centers = (
         members.groupBy("bucket")
-        .agg(F.min(F.struct("rep", "n")).alias("center"), F.max("rep").alias("last"))
-        .where("center.rep < last")
-        .select("bucket", F.col("center.rep").alias("a"), F.col("center.n").alias("n_a"))
+        .agg(F.min("rep").alias("a"), F.max("rep").alias("last"))
+        .where("a < last")
+        .drop("last")
     )
-    shared = stored(members.join(centers, "bucket"), "buckets")
-    similar_sizes = "100 * least(n, n_a) >= {0} * greatest(n, n_a)".format(percent)
-    star = shared.where(f"rep != a and {similar_sizes}").select("a", F.col("rep").alias("b")).distinct()
-    links = confirmed(star, docs, percent)
-    links = links.unionByName(_remaining(shared, components(links), docs, percent))
+    shared = stored(members.join(centers, "bucket").select("bucket", "rep", "a"), "buckets")
+    sets = classes.where("rep is not null").select("rep", "n", "parity")
+    star = shared.where("rep != a").select("a", F.col("rep").alias("b")).distinct()
+    star = star.join(_of(sets, "a"), "a").join(_of(sets, "b"), "b").where(may_link("a", "b", percent))
+    links = confirmed(star.select("a", "b").distinct(), docs, percent)
+    links = links.unionByName(_remaining(shared, components(links), sets, docs, percent))
     found = components(links).select(F.col("node").alias("rep"), "component")
 
     named = classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
@@ -163,12 +202,16 @@ def near_duplicates(
     )
 
 
-def _remaining(shared: DataFrame, found: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _of(sets: DataFrame, end: str) -> DataFrame:
+    return sets.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("parity").alias(f"parity_{end}"))
+
+
+def _remaining(shared: DataFrame, found: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links between components that still share a bucket. In such a bucket, each
     class outside the largest component meets the classes of all other components;
     pairs that the star has compared are left out."""
     labelled = shared.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", "n", "a", F.coalesce("component", "rep").alias("component")
+        "bucket", "rep", "a", F.coalesce("component", "rep").alias("component")
     )
     sizes = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = (
@@ -177,19 +220,24 @@ def _remaining(shared: DataFrame, found: DataFrame, docs: DataFrame, percent: in
         .where("parts > 1")
         .select("bucket", F.col("top.component").alias("largest"))
     )
-    split = stored(labelled.join(largest, "bucket"), "split-buckets")
-    one = split.where("component != largest").select("bucket", F.col("rep").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("of_x"), "a")
-    other = split.select("bucket", F.col("rep").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("of_y"), "largest")
+    split = stored(labelled.join(largest, "bucket").join(sets, "rep"), "split-buckets")
+    one = split.where("component != largest").select("bucket", *_named("x"), "a")
+    other = split.select("bucket", *_named("y"), "largest")
     pairs = (
         one.join(other, "bucket")
         .where("of_x != of_y and (of_y = largest or x < y) and x != a and y != a")
-        .where("100 * least(n_x, n_y) >= {0} * greatest(n_x, n_y)".format(percent))
+        .where(may_link("x", "y", percent))
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
     return confirmed(pairs, docs, percent)
 
 
+def _named(end: str) -> list[Column]:
+    names = {"rep": end, "n": f"n_{end}", "parity": f"parity_{end}", "component": f"of_{end}"}
+    return [F.col(name).alias(alias) for name, alias in names.items()]
+
+
 def survivors(df: DataFrame) -> DataFrame:
     """The rows of ``df`` that stay: one of every component, and every row whose text
     has no words. Of rows that repeat an id and its text, all stay or none."""

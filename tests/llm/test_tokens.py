@@ -1,0 +1,145 @@
+"""Tokens and packing against the libraries applied to each whole text."""
+
+import base64
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from retail_lake.llm import bpe, packing
+from retail_lake.llm.common import text_bytes
+from retail_lake.llm.segments import safe_boundaries
+from tests.conftest import SMALL
+from tests.llm.conftest import ROWS
+
+RANKS = public_tokenizers.path(bpe.RANKS)
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def test_round_trip_of_all_documents(spark, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = bpe.op10_bpe_round_trip(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), sha(np.array(ids, "<u4").tobytes()))
+        assert r.decoded_sha256 == sha(texts[r.doc_id].encode())
+
+
+def test_edge_cases_keep_columns_and_bytes(docs, library):
+    there = docs.withColumnRenamed("ids", "other")
+    back = bpe.decode(bpe.encode(there, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+    rows = back.collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter(ROWS)
+    for r in rows:
+        assert r.ids == library.encode_ordinary(r.text or "")
+        assert bytes(r.decoded) == (r.text or "").encode()
+        assert r.other == "own ids" and r.score == "own score"
+
+
+def test_a_clashing_column_is_replaced(docs):
+    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    assert dict(encoded.dtypes)["ids"] == "array<int>" and encoded.columns.count("ids") == 1
+
+
+def test_empty_tables(no_docs):
+    encoded = bpe.encode(no_docs, RANKS, public_tokenizers.PATTERN)
+    assert bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert packing.pack(no_docs, packing.default_tokenizer()).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \t\n\r  　\u0085\x1cab'é漢sLl1.,-_", max_size=40))
+def test_safe_boundaries_change_no_ids(text):
+    import pyarrow as pa
+
+    encoder = bpe.vocabulary(RANKS, public_tokenizers.PATTERN)[0]
+    offsets, data = text_bytes(pa.array([text]))
+    cuts = safe_boundaries(offsets, data)
+    raw = data.tobytes()
+    parts = [raw[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    assert sum((list(encoder.encode(p)) for p in parts), []) == list(encoder.encode(text))
+
+
+def whole_ids(text, library=[]):
+    if not library:
+        library.append(Tokenizer.from_file(packing.default_tokenizer()))
+        library[0].encode_special_tokens = True
+    return np.array(library[0].encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+
+
+def check_packing(pieces, texts, capacity=packing.CAPACITY):
+    """Every id lies in one piece, no sequence overflows or has a gap."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_sequence[p.sequence_id].append(p)
+    assert set(by_doc) == set(texts)
+    for key, own in by_doc.items():
+        ids = whole_ids(texts[key])
+        at = 0
+        for p in sorted(own, key=lambda p: p.start):
+            assert p.start == at and p.doc_tokens == len(ids) and p.length > 0
+            assert p.ids_crc32 == zlib.crc32(ids[at : at + p.length].tobytes())
+            at += p.length
+        assert at == len(ids)
+    fills = []
+    for own in by_sequence.values():
+        at = 0
+        for p in sorted(own, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= capacity
+        fills.append(at)
+    return fills
+
+
+def test_packing_of_all_documents(spark, small_docs):
+    texts = {r.doc_id: r.text for r in small_docs.collect()}
+    fills = check_packing(packing.op7_packing(spark, SMALL).collect(), texts)
+    assert sum(fills) / (packing.CAPACITY * len(fills)) > 0.97
+
+
+def test_packing_edge_cases(spark, docs):
+    """NULL and empty texts have their end id; each row of a repeated id is packed."""
+    unique = docs.where("doc_id is not null and doc_id != 17")
+    texts = {k: t for k, t in ROWS if k is not None and k != 17}
+    check_packing(packing.pack(unique, packing.default_tokenizer()).collect(), texts)
+    pieces = packing.pack(docs, packing.default_tokenizer()).collect()
+    expected = sum(len(whole_ids(t)) for _, t in ROWS)
+    assert sum(p.length for p in pieces) == expected
+    assert sum(p.length for p in pieces if p.doc_id == 17) == 2 * len(whole_ids(dict(ROWS)[17]))
+
+
+def test_many_workers_share_their_leftovers(spark, small_docs):
+    """More workers than the fan-in squared need three levels of the tree."""
+    texts = {r.doc_id: r.text for r in small_docs.collect()}
+    spread = small_docs.repartition(70, "doc_id")
+    fills = check_packing(packing.pack(spread, packing.default_tokenizer()).collect(), texts)
+    assert sum(fills) / (packing.CAPACITY * len(fills)) > 0.97
+
+
+@given(st.integers(1, 50_000))
+def test_cuts_add_up_and_fill_their_class(tokens):
+    lengths = packing.lengths(tokens)
+    assert sum(lengths) == tokens and min(lengths) > 0
+    for n in lengths:
+        k = packing.CAPACITY // n
+        assert n < packing.WHOLE or packing.CAPACITY - k * n <= packing.SLACK * packing.CAPACITY
