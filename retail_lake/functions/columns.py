@@ -4,7 +4,7 @@ them stays inside the JVM and its generated code."""
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from retail_lake.schemas import MONEY, RATE
+from retail_lake.schemas import MONEY, PRICE, RATE
 
 WHITESPACE = " \t\r\n\f\v"
 
@@ -27,9 +27,9 @@ def country(text: Column) -> Column:
     return F.coalesce(F.nullif(F.initcap(tidy(text)), F.lit("")), F.lit("Unknown"))
 
 
-def money(value: Column) -> Column:
-    """Amount in cents, NULL when it does not parse."""
-    return value.try_cast(MONEY)
+def price(value: Column) -> Column:
+    """Price of one unit with its digits, NULL when it does not parse."""
+    return value.try_cast(PRICE)
 
 
 def rate(value: Column) -> Column:
@@ -50,7 +50,8 @@ def instant(value: Column) -> Column:
 
 
 def gross(quantity: Column, unit_price: Column) -> Column:
-    return (quantity * unit_price).try_cast(MONEY)
+    """Amount of a line, rounded half up to cents; NULL when it overflows."""
+    return F.round(quantity * unit_price, 2).try_cast(MONEY)
 
 
 def net(gross_amount: Column, discount: Column) -> Column:

@@ -86,7 +86,11 @@ def evaluate(df: DataFrame, *expectations: Expectation) -> DataFrame:
 
 
 class ExpectationsFailed(ValueError):
-    """Raised by ``gate``; the message lists the failed checks."""
+    """Raised by ``gate``; the message lists the failed checks, ``results`` has all."""
+
+    def __init__(self, message: str, results: Iterable[Row]):
+        super().__init__(message)
+        self.results = list(results)
 
 
 def gate(results: Iterable[Row], fail_on_error: bool = True) -> list[Row]:
@@ -94,8 +98,9 @@ def gate(results: Iterable[Row], fail_on_error: bool = True) -> list[Row]:
 
     Takes collected results: one row per check, however large the tables were.
     """
+    results = list(results)
     failed = [r for r in results if not r["passed"]]
     if failed and fail_on_error:
         named = ", ".join(f"{r['check']} ({r['detail']})" for r in failed)
-        raise ExpectationsFailed(f"Data quality checks failed: {named}")
+        raise ExpectationsFailed(f"Data quality checks failed: {named}", results)
     return failed

@@ -31,6 +31,7 @@ class Thresholds:
     """Limits of the quality gate."""
 
     max_null_ratio: float = 0.02
+    max_unknown_amounts: float = 0.02
     min_order_items: int = 10_000
     fail_on_error: bool = True
 
@@ -45,6 +46,7 @@ def quality_results(tables: Mapping[str, DataFrame], limits: Thresholds) -> Data
     order_items = expect.evaluate(
         tables["order_items"],
         expect.not_null("customer_id", limits.max_null_ratio),
+        expect.not_null("net_amount", limits.max_unknown_amounts),
         expect.non_negative("net_amount"),
         expect.min_rows(limits.min_order_items, "order_items"),
     )
@@ -61,16 +63,20 @@ def build_bronze(lake: Lake, landing: str, run_id: str, batch_id: int = 1) -> li
 
 def build_silver(lake: Lake, run_id: str, limits: Thresholds = Thresholds()) -> list[Staged]:
     """Conform bronze, keep what was rejected, and publish if the gate lets it."""
-    raw = {name: lake.table("bronze", name) for name in ("customers", "products", "orders")}
+    raw = lake.tables("bronze", ("customers", "products", "orders"))
     tables = {
         "customers": silver.customers(raw["customers"]),
         "products": silver.products(raw["products"]),
         "order_items": _labelled_lines(raw["orders"]),
+        "rejected_customers": silver.rejected_customers(raw["customers"]),
         "rejected_products": silver.rejected_products(raw["products"]),
+        "keyless_lines": silver.keyless_lines(raw["orders"]),
         "unreadable_events": silver.unreadable_events(raw["orders"]),
     }
     layout = {"order_items": ("verdict", "order_month")}
-    written = {s.table: s for s in lake.stage_all("silver", tables, run_id, layout)}
+    verdicts = {v: F.col("verdict") == v for v in ("accepted", "rejected")}
+    staged = lake.stage_all("silver", tables, run_id, layout, {"order_items": verdicts})
+    written = {s.table: s for s in staged}
     written |= _by_verdict(written["order_items"])
 
     checked = {name: lake.load(written[name]) for name in ("customers", "products", "order_items")}
@@ -97,21 +103,27 @@ def _labelled_lines(raw_orders: DataFrame) -> DataFrame:
 def _by_verdict(written: Staged) -> dict[str, Staged]:
     sound = tuple(c for c in written.columns if c not in (REASON, RECORD, "verdict"))
     return {
-        "order_items": replace(written, columns=sound, where="verdict = 'accepted'"),
+        "order_items": replace(
+            written, columns=sound, where="verdict = 'accepted'", rows=written.tallies["accepted"]
+        ),
         "rejected_items": replace(
-            written, table="rejected_items", columns=(REASON, RECORD), where="verdict = 'rejected'"
+            written,
+            table="rejected_items",
+            columns=(REASON, RECORD),
+            where="verdict = 'rejected'",
+            rows=written.tallies["rejected"],
         ),
     }
 
 
 def build_gold(lake: Lake, run_id: str) -> list[Staged]:
     """Star schema and marts from published silver. Marts read the written fact."""
-    order_items = lake.table("silver", "order_items")
+    source = lake.tables("silver", ("customers", "products", "order_items"))
     tables = {
-        "dim_customer": star.dim_customer(lake.table("silver", "customers")),
-        "dim_product": star.dim_product(lake.table("silver", "products")),
-        "dim_date": star.dim_date(order_items),
-        "fact_sales": star.fact_sales(order_items),
+        "dim_customer": star.dim_customer(source["customers"]),
+        "dim_product": star.dim_product(source["products"]),
+        "dim_date": star.dim_date(source["order_items"]),
+        "fact_sales": star.fact_sales(source["order_items"]),
     }
     staged = lake.stage_all("gold", tables, run_id)
     written = {s.table: lake.load(s) for s in staged}
@@ -124,7 +136,7 @@ def build_gold(lake: Lake, run_id: str) -> list[Staged]:
 
 def refresh_marts(lake: Lake, run_id: str) -> list[Staged]:
     """Recompute the marts alone, from the published star schema."""
-    star_tables = {name: lake.table("gold", name) for name in (*DIMENSIONS, "fact_sales")}
+    star_tables = lake.tables("gold", (*DIMENSIONS, "fact_sales"))
     marts = build_marts(star_tables["fact_sales"], star_tables)
     staged = lake.stage_all("gold", marts, run_id)
     lake.publish(staged)
@@ -137,6 +149,8 @@ def serve(lake: Lake) -> dict[str, str]:
     The views show gold itself, so nothing is copied and nothing can go stale; a
     missing gold table is an error.
     """
+    lake.tables("served", SERVED)
+    lake.register("gold")
     lake.create_database("served")
     views = {name: lake.qualified("served", name) for name in SERVED}
     for name, view in views.items():
@@ -159,6 +173,8 @@ def run(
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     if "bronze" in stages and landing is None:
         raise ValueError("the bronze stage needs a landing folder")
+    if (zone := lake.spark.conf.get("spark.sql.session.timeZone")) not in ("UTC", "Etc/UTC"):
+        raise ValueError(f"times without offset are UTC; set spark.sql.session.timeZone to UTC, not {zone}")
     run_id = run_id or new_run_id()
     staged: list[Staged] = []
     if "bronze" in stages:
@@ -174,5 +190,5 @@ def run(
 
 def reports(lake: Lake) -> dict[str, DataFrame]:
     """Every report over the served marts, by title."""
-    marts = {mart.name: lake.table("served", mart.name) for mart in MARTS}
+    marts = lake.tables("served", [mart.name for mart in MARTS])
     return {title: report(lake.spark, title, marts) for title in REPORTS}

@@ -1,22 +1,38 @@
 """Versioned storage of the lake: write, audit, then publish.
 
-Every run writes each table into a folder of its own, so readers keep seeing the
-last published version until ``publish`` repoints a catalog view to the new one.
-Repointing is a metastore operation; no file is moved or overwritten, which holds
-on object stores too, and no reader ever sees a half-written table.
+Every write goes to a folder of its own, also when a run id recurs, so readers keep
+seeing the last published version until ``publish`` adds a publication: one small
+file that names the folders of all tables of the layer. It appears as a whole or
+not at all, and a reader takes the latest, in any session or process; tables of
+two publications never mix. No data file is moved or overwritten, which holds on
+object stores too. Views of the catalog show the same to SQL users of the session.
 """
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 
+from pyarrow import fs
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold", "served")
+#: What is served are the tables of another layer.
+SHOWN = {"served": "gold"}
+
+_PUBLICATION = (
+    "version bigint, publication string, layer string, table string, path string, rows bigint,"
+    " columns array<string>, where string"
+)
+
+
+class NotPublished(LookupError):
+    """The table has no published version."""
 
 
 @dataclass(frozen=True)
@@ -30,6 +46,7 @@ class Staged:
     rows: int
     columns: tuple[str, ...]
     where: str | None = None
+    tallies: Mapping[str, int] = field(default_factory=dict, compare=False)
 
 
 @dataclass(frozen=True)
@@ -46,13 +63,17 @@ class Lake:
         df: DataFrame,
         run_id: str,
         partition_by: Sequence[str] = (),
+        tallies: Mapping[str, Column] | None = None,
     ) -> Staged:
-        """Write ``df`` under the run's folder, counting its rows on the way."""
-        path = f"{self.root}/{layer}/{table}/{run_id}"
+        """Write ``df`` to a fresh folder, counting its rows on the way, and on request
+        the rows that meet each condition of ``tallies``."""
+        path = f"{self.root}/{layer}/{table}/{run_id}-{new_run_id()[:12]}"
         observed = Observation()
-        counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+        counts = [F.count_if(condition).alias(f"tally_{name}") for name, condition in (tallies or {}).items()]
+        counted = df.observe(observed, F.count(F.lit(1)).alias("rows"), *counts)
         write_table(counted, path, self.fmt, partition_by)
-        return Staged(layer, table, path, observed.get["rows"], tuple(df.columns))
+        found = {name: observed.get[f"tally_{name}"] for name in tallies or {}}
+        return Staged(layer, table, path, observed.get["rows"], tuple(df.columns), tallies=found)
 
     def stage_all(
         self,
@@ -60,6 +81,7 @@ class Lake:
         tables: Mapping[str, DataFrame],
         run_id: str,
         partition_by: Mapping[str, Sequence[str]] | None = None,
+        tallies: Mapping[str, Mapping[str, Column]] | None = None,
     ) -> list[Staged]:
         """Write independent tables side by side, so that the last tasks of a large
         one leave no executors idle while small ones wait."""
@@ -67,7 +89,7 @@ class Lake:
         layout = partition_by or {}
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
             writes = [
-                pool.submit(stage, layer, name, df, run_id, layout.get(name, ()))
+                pool.submit(stage, layer, name, df, run_id, layout.get(name, ()), (tallies or {}).get(name))
                 for name, df in tables.items()
             ]
             return [write.result() for write in writes]
@@ -78,16 +100,69 @@ class Lake:
             df = df.where(staged.where)
         return df.select(*staged.columns)
 
+    def publications(self, layer: str) -> list[dict[str, Staged]]:
+        """Published tables by name, the latest publication last."""
+        try:
+            rows = self.spark.read.schema(_PUBLICATION).json(f"{self.root}/_published/{layer}").collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        found: dict[tuple, dict[str, Staged]] = {}
+        for r in rows:  # a row per table and publication
+            staged = Staged(r.layer, r["table"], r.path, r.rows, tuple(r["columns"]), r.where)
+            found.setdefault((r.version, r.publication), {})[staged.table] = staged
+        return [found[key] for key in sorted(found)]
+
+    def published(self, layer: str) -> dict[str, Staged]:
+        return (self.publications(SHOWN.get(layer, layer)) or [{}])[-1]
+
     def publish(self, tables: Iterable[Staged]) -> None:
+        """Make the tables' versions the current ones, all of a layer at once; its other
+        tables keep theirs."""
+        layers: dict[str, dict[str, Staged]] = {}
         for staged in tables:
+            layers.setdefault(staged.layer, {})[staged.table] = staged
+        for layer, new in layers.items():
+            nothing = self.spark.createDataFrame([], _PUBLICATION)
+            nothing.write.mode("ignore").json(f"{self.root}/_published/{layer}")  # at first
+            before = self.publications(layer)
+            mark = {"version": len(before) + 1, "publication": new_run_id()}
+            current = (before[-1] if before else {}) | new
+            rows = [mark | {k: v for k, v in asdict(s).items() if k != "tallies"} for s in current.values()]
+            publication = self.spark.createDataFrame(rows, _PUBLICATION).coalesce(1)
+            publication.write.mode("append").json(f"{self.root}/_published/{layer}")
+            self.register(layer)
+
+    def register(self, layer: str) -> None:
+        """Views of the layer's published tables in this session's catalog."""
+        self.create_database(layer)
+        for staged in self.published(layer).values():
             shown = ", ".join(f"`{c}`" for c in staged.columns)
             condition = f" WHERE {staged.where}" if staged.where else ""
-            self.create_database(staged.layer)
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW {self.qualified(staged.layer, staged.table)}"
                 f" AS SELECT {shown} FROM {self.fmt}.`{staged.path}`{condition}"
             )
 
+    def expire(self, keep: int = 3, older_than: float = 86_400.0) -> list[str]:
+        """Delete written folders that none of a layer's last ``keep`` publications names
+        and that are older than ``older_than`` seconds, so that a run under way keeps
+        its own. Returns what was deleted."""
+        if keep < 1:
+            raise ValueError("the published version must stay")
+        store, root = fs.FileSystem.from_uri(self.root)
+        gone = []
+        for layer in LAYERS:
+            named = {s.path.rsplit("/", 1)[-1] for tables in self.publications(layer)[-keep:] for s in tables.values()}
+            for table in _folders(store, f"{root}/{layer}"):
+                for version in _folders(store, table.path):
+                    aged = time.time() - version.mtime.timestamp() >= older_than if version.mtime else False
+                    if aged and version.base_name not in named:
+                        store.delete_dir(version.path)
+                        gone.append(version.path)
+        return gone
+
     def create_database(self, layer: str) -> None:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}"
@@ -96,7 +171,14 @@ class Lake:
 
     def table(self, layer: str, table: str) -> DataFrame:
         """The published version; an unpublished table is an error, not a stale read."""
-        return self.spark.table(self.qualified(layer, table))
+        return self.tables(layer, [table])[table]
+
+    def tables(self, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Several tables of one publication."""
+        current = self.published(layer)
+        if missing := [name for name in names if name not in current]:
+            raise NotPublished(f"not published in {layer}: {', '.join(missing)}")
+        return {name: self.load(current[name]) for name in names}
 
     def unregister(self) -> None:
         """Take the lake's databases out of the catalog; written data stays."""
@@ -111,12 +193,17 @@ class Lake:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``path``. Rows of one partition value are brought together first,
+    """Write to ``path``, which must not exist yet. Rows of one partition value are brought together first,
     in files of the advisory size: a hot value is split over several tasks, and
     small ones share a task instead of leaving a file per task behind."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    df.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(path)
+
+
+def _folders(store: fs.FileSystem, path: str) -> list[fs.FileInfo]:
+    found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return [x for x in found if x.type == fs.FileType.Directory]
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:

@@ -13,21 +13,26 @@ raw_customers AS (
            ELSE concat('  ', lower(n_name), ' ') END AS country,
       r_name AS city, lower(c_mktsegment) AS segment,
       CAST(DATE '2024-01-01' - CAST(c_custkey % 900 AS INT) AS VARCHAR) AS signup_date
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
-                  JOIN region ON n_regionkey = r_regionkey)
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+                  LEFT JOIN region ON n_regionkey = r_regionkey)
   SELECT customer_id, full_name, email, country, city, segment, signup_date, 1 AS batch_id FROM b
   UNION ALL
-  SELECT customer_id, full_name, upper(email), country, city, segment, signup_date, 2 FROM b WHERE k % 20 = 0)"""
+  SELECT customer_id, full_name, upper(email), country, city, segment, signup_date, 2 FROM b WHERE k % 20 = 0
+  UNION ALL
+  SELECT NULL, full_name, email, country, city, segment, signup_date, 1 FROM b WHERE k % 40 = 3)"""
 
 _RAW_PRODUCTS = """
 raw_products AS (
-  SELECT concat('P', lpad(CAST(p_partkey AS VARCHAR), 5, '0')) AS product_id,
+  WITH b AS (SELECT p_partkey AS k, concat('P', lpad(CAST(p_partkey AS VARCHAR), 5, '0')) AS product_id,
     p_name AS product_name, p_type AS category, p_brand AS brand,
     CASE WHEN p_partkey % 25 = 4 THEN concat('-', CAST(p_retailprice AS VARCHAR))
          WHEN p_partkey % 50 = 6 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS unit_price,
     CAST(CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 0.60 AS DECIMAL(18,2)) AS VARCHAR) AS unit_cost,
     1 AS batch_id
-  FROM part)"""
+  FROM part)
+  SELECT * EXCLUDE (k) FROM b
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE (CAST(NULL AS VARCHAR) AS product_id) FROM b WHERE k % 40 = 3)"""
 
 _RAW_LINES = """
 raw_lines AS (
@@ -40,13 +45,13 @@ raw_lines AS (
                           WHEN 2 THEN 'marketplace' ELSE 'in_store' END AS channel,
       o_orderpriority AS payment_method,
       CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'returned' ELSE 'cancelled' END AS status,
-      row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-                         l_shipdate, l_extendedprice, l_quantity, l_discount) AS line_no,
+      concat(l_linenumber, '.', l_partkey, '.', l_suppkey, '.', strftime(l_shipdate, '%Y%m%d')) AS line_no,
       concat('P', lpad(CAST(l_partkey AS VARCHAR), 5, '0')) AS product_id,
       CASE WHEN o_orderkey % 50 = 11 AND l_linenumber = 1 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity,
-      CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price,
+      CAST(CAST(p_retailprice AS DECIMAL(18,2))
+        + CAST(l_suppkey % 100 AS DECIMAL(3,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,6)) AS unit_price,
       CAST(l_discount AS DECIMAL(5,4)) AS discount_pct
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey)
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey)
   SELECT l.*, 1 AS batch_id FROM l
   UNION ALL
   SELECT l.*, 2 AS batch_id FROM l WHERE k % 25 = 0)"""
@@ -56,10 +61,10 @@ _TYPED = """
 typed AS (
   SELECT order_id, customer_id, order_ts, channel, payment_method, status, product_id,
     quantity, unit_price, discount_pct,
-    CAST(quantity * unit_price AS DECIMAL(18,2)) AS gross_amount,
-    CAST(round(CAST(quantity * unit_price AS DECIMAL(18,2))
+    CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2)) AS gross_amount,
+    CAST(round(CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2))
          * (CAST(1 AS DECIMAL(5,4)) - discount_pct), 2) AS DECIMAL(18,2)) AS net_amount,
-    concat(order_id, '-', CAST(line_no AS VARCHAR)) AS order_item_id,
+    concat(order_id, '-', line_no) AS order_item_id,
     CAST(order_ts AS DATE) AS order_date
   FROM (SELECT *, rank() OVER (PARTITION BY order_id ORDER BY batch_id) AS rn FROM raw_lines) q
   WHERE rn = 1)"""
@@ -82,15 +87,15 @@ clean_customers AS (
          ELSE concat(upper(left(trim(country), 1)), lower(substr(trim(country), 2))) END AS country,
     city, segment, CAST(signup_date AS DATE) AS signup_date
   FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY batch_id) AS rn
-        FROM raw_customers) q
+        FROM raw_customers WHERE customer_id IS NOT NULL) q
   WHERE rn = 1)"""
 
 _PRODUCTS = """
 clean_products AS (
   SELECT product_id, product_name, category, brand,
-    TRY_CAST(unit_price AS DECIMAL(18,2)) AS unit_price,
-    TRY_CAST(unit_cost AS DECIMAL(18,2)) AS unit_cost
-  FROM raw_products WHERE TRY_CAST(unit_price AS DECIMAL(18,2)) > 0)"""
+    TRY_CAST(unit_price AS DECIMAL(18,6)) AS unit_price,
+    TRY_CAST(unit_cost AS DECIMAL(18,6)) AS unit_cost
+  FROM raw_products WHERE product_id IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(18,6)) > 0)"""
 
 _DATES = """
 dates AS (
@@ -146,8 +151,7 @@ events_once AS (
                         WHEN 2 THEN 'marketplace' ELSE 'in_store' END AS channel,
     o_orderpriority AS payment_method,
     CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'returned' ELSE 'cancelled' END AS status,
-    (SELECT count(*) FROM lineitem JOIN part ON l_partkey = p_partkey
-     WHERE l_orderkey = o_orderkey) AS items
+    (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS items
   FROM orders)"""
 
 _ORDER_LINES = _with(*_L, select="SELECT * FROM lines")
@@ -163,6 +167,9 @@ UNION ALL
 SELECT 'not_null[customer_id]', avg(CASE WHEN customer_id IS NULL THEN 1.0 ELSE 0.0 END) <= 0.02,
   printf('null ratio %.4f <= 0.02', avg(CASE WHEN customer_id IS NULL THEN 1.0 ELSE 0.0 END)) FROM lines
 UNION ALL
+SELECT 'not_null[net_amount]', avg(CASE WHEN net_amount IS NULL THEN 1.0 ELSE 0.0 END) <= 0.02,
+  printf('null ratio %.4f <= 0.02', avg(CASE WHEN net_amount IS NULL THEN 1.0 ELSE 0.0 END)) FROM lines
+UNION ALL
 SELECT 'non_negative[unit_price]', count(*) FILTER (WHERE unit_price < 0) = 0,
   printf('%d negative values', count(*) FILTER (WHERE unit_price < 0)) FROM clean_products
 UNION ALL
@@ -172,20 +179,28 @@ UNION ALL
 SELECT 'min_rows[order_items]', count(*) >= 10000, printf('%d >= 10000', count(*)) FROM lines"""
 
 _QUARANTINE = """
+SELECT 'customers' AS source, 'missing_key' AS reject_reason, count(*) AS rejected
+FROM raw_customers WHERE customer_id IS NULL HAVING count(*) > 0
+UNION ALL
+SELECT 'products', 'missing_key', count(*) FROM raw_products WHERE product_id IS NULL HAVING count(*) > 0
+UNION ALL
+SELECT 'orders', 'missing_key', count(*)
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey % 100 = 7 HAVING count(*) > 0
+UNION ALL
 SELECT 'products' AS source,
-  CASE WHEN TRY_CAST(unit_price AS DECIMAL(18,2)) IS NULL THEN 'unparsable_price'
+  CASE WHEN TRY_CAST(unit_price AS DECIMAL(18,6)) IS NULL THEN 'unparsable_price'
        ELSE 'non_positive_price' END AS reject_reason, count(*) AS rejected
-FROM raw_products WHERE coalesce(TRY_CAST(unit_price AS DECIMAL(18,2)), 0) <= 0
+FROM raw_products WHERE product_id IS NOT NULL AND coalesce(TRY_CAST(unit_price AS DECIMAL(18,6)), 0) <= 0
 GROUP BY ALL
 UNION ALL
 SELECT 'order_items', 'no_items', count(*) FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM lineitem JOIN part ON l_partkey = p_partkey
-                  WHERE l_orderkey = o_orderkey)
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
 HAVING count(*) > 0
 UNION ALL
 SELECT 'order_items',
-  CASE WHEN quantity <= 0 THEN 'non_positive_quantity' ELSE 'non_positive_price' END, count(*)
-FROM typed WHERE quantity <= 0 OR unit_price <= 0
+  CASE WHEN quantity <= 0 THEN 'non_positive_quantity' WHEN unit_price IS NULL THEN 'unparsable_price'
+       ELSE 'non_positive_price' END, count(*)
+FROM typed WHERE quantity <= 0 OR unit_price IS NULL OR unit_price <= 0
 GROUP BY ALL"""
 
 _AUDIT = """
@@ -194,17 +209,19 @@ FROM raw_customers GROUP BY batch_id
 UNION ALL
 SELECT 'products.csv', batch_id, count(*), count(*) FROM raw_products GROUP BY batch_id
 UNION ALL
-SELECT 'orders.json', 1, count(*), count(*) FROM orders HAVING count(*) > 0
-UNION ALL
-SELECT 'orders.json', 2, count(*), count(*) FROM orders WHERE o_orderkey % 25 = 0 HAVING count(*) > 0"""
+SELECT 'orders.json', batch_id, count(*), count(*)
+FROM (SELECT o_orderkey, unnest(CASE WHEN o_orderkey % 25 = 0 THEN [1, 2] ELSE [1] END
+        || CASE WHEN o_orderkey % 100 = 7 THEN [1] ELSE [] END) AS batch_id
+      FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey)
+GROUP BY batch_id"""
 
 _LAYERS = """
 SELECT 'silver' AS layer, 'customers' AS "table", count(*) AS row_count,
   CAST(NULL AS DECIMAL(38,2)) AS amount FROM clean_customers
-UNION ALL SELECT 'silver', 'products', count(*), sum(unit_price) FROM clean_products
+UNION ALL SELECT 'silver', 'products', count(*), CAST(sum(unit_price) AS DECIMAL(38,2)) FROM clean_products
 UNION ALL SELECT 'silver', 'order_items', count(*), sum(net_amount) FROM lines
 UNION ALL SELECT 'served', 'dim_customer', count(*), NULL FROM clean_customers
-UNION ALL SELECT 'served', 'dim_product', count(*), sum(unit_price) FROM clean_products
+UNION ALL SELECT 'served', 'dim_product', count(*), CAST(sum(unit_price) AS DECIMAL(38,2)) FROM clean_products
 UNION ALL SELECT 'served', 'dim_date', count(*), NULL FROM dates
 UNION ALL SELECT 'served', 'fact_sales', count(*), sum(net_amount) FROM fact
 UNION ALL SELECT 'served', 'mart_daily_sales', count(*), sum(revenue) FROM daily
@@ -251,9 +268,10 @@ ORACLES = {
         select="SELECT product_id, count(*) AS \"rows\" FROM lines "
         "WHERE product_id NOT IN (SELECT product_id FROM clean_products) GROUP BY product_id",
     ),
-    "quarantine": _with(_RAW_PRODUCTS, _RAW_LINES, _TYPED, select=_QUARANTINE),
+    "quarantine": _with(_RAW_CUSTOMERS, _RAW_PRODUCTS, _RAW_LINES, _TYPED, select=_QUARANTINE),
     "bronze_audit": _with(_RAW_CUSTOMERS, _RAW_PRODUCTS, select=_AUDIT),
     "csv_roundtrip": _CLEAN_CUSTOMERS,
+    "csv_reordered": _CLEAN_CUSTOMERS,
     "json_roundtrip": _ORDER_LINES,
     "layer_roundtrip": _with(*_C, *_P, *_F, _DATES, _DAILY, _CATEGORY, _TOP, select=_LAYERS),
     "partition_pruned_month": _with(

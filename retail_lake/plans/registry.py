@@ -36,7 +36,7 @@ def _dedup_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First delivered events, with the number of items of each order."""
     events = silver.first_events(samples.order_events(spark, sf_dir))
     header = ("order_id", "customer_id", "order_ts", "channel", "payment_method", "status")
-    return events.groupBy(*header).agg(F.sum(F.size("items").cast("bigint")).alias("items"))
+    return events.groupBy(*header).agg(F.sum(F.size("items").cast("bigint")).alias("items"))  # over documents
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,18 +77,18 @@ def _dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = silver.quarantine(
-        samples.products(spark, sf_dir), samples.order_events(spark, sf_dir)
+        samples.customers(spark, sf_dir), samples.products(spark, sf_dir), samples.order_events(spark, sf_dir)
     )
     return rejected.groupBy("source", REASON).agg(F.count(F.lit(1)).alias("rejected"))
 
 
 def _bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and ingest stamps per source file and batch, as bronze would hold them.
-    An order split over several documents counts once, by its first."""
+    """Rows and ingest stamps per source file and batch, as bronze would hold them: lines
+    of the order export, however many documents hold them."""
     raw = {
         "customers.csv": samples.customers(spark, sf_dir),
         "products.csv": samples.products(spark, sf_dir),
-        "orders.json": samples.order_events(spark, sf_dir).where("coalesce(part_no, 0) = 0"),
+        "orders.json": samples.order_events(spark, sf_dir).select("order_id", BATCH, F.explode_outer("items")),
     }
     per_source = [
         with_lineage(df, name)
@@ -106,6 +106,17 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.customers(read_csv(spark, path, RAW_CUSTOMERS))
 
 
+def _csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers conformed from files whose columns come in two orders, one of them
+    with a column more."""
+    path = f"{scratch_folder(spark, 'csv_reordered')}/customers.csv"
+    raw = samples.customers(spark, sf_dir)
+    samples.write_csv_export(raw.where(F.col(BATCH) == 1), path)
+    turned = raw.where(F.col(BATCH) == 2).select(*reversed(raw.columns), F.lit("x").alias("note"))
+    samples.write_csv_export(turned, path, mode="append")
+    return silver.customers(read_csv(spark, path, RAW_CUSTOMERS))
+
+
 def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines conformed from nested JSON Lines files."""
     path = f"{scratch_folder(spark, 'json_roundtrip')}/orders.json"
@@ -176,6 +187,7 @@ QUERIES: dict[str, Query] = {
     "quarantine": _quarantine,
     "bronze_audit": _bronze_audit,
     "csv_roundtrip": _csv_roundtrip,
+    "csv_reordered": _csv_reordered,
     "json_roundtrip": _json_roundtrip,
     "layer_roundtrip": _layer_roundtrip,
     "partition_pruned_month": _partition_pruned_month,

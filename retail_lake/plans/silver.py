@@ -16,15 +16,19 @@ def _same(*names: str) -> dict:
     return {name: F.col(name) for name in names}
 
 
-def _event_key(raw: DataFrame) -> list[str]:
-    """An order is one document, unless its source splits it into numbered parts."""
-    return [name for name in ("order_id", "part_no") if name in raw.columns]
-
-
 def _arrival(raw: DataFrame) -> list[str]:
     return [name for name in (BATCH, INGESTED) if name in raw.columns]
 
 
+def _keyed(raw: DataFrame, key: str) -> Conformed:
+    """Raw rows, with a reason to reject those that are malformed or lack their key:
+    without it they would pass for copies of each other."""
+    label = F.when(F.col(CORRUPT).isNotNull(), "malformed_row") if CORRUPT in raw.columns else F.when(F.lit(False), "")
+    reason = F.coalesce(label, F.when(F.col(key).isNull(), "missing_key"))
+    record = F.when(reason.isNotNull(), F.to_json(F.struct(*raw.columns)))
+    return Conformed(raw.withColumn(REASON, reason).withColumn(RECORD, record))
+
+
 def customers(raw: DataFrame) -> DataFrame:
     """First delivered row per customer, with tidy email and country."""
     rules = Rules(
@@ -36,15 +40,19 @@ def customers(raw: DataFrame) -> DataFrame:
             "signup_date": c.calendar_date(F.col("signup_date")),
         }
     )
-    return rules.apply(first_by_key(raw, ["customer_id"])).accepted
+    return rules.apply(first_by_key(_keyed(raw, "customer_id").accepted, ["customer_id"])).accepted
+
+
+def rejected_customers(raw: DataFrame) -> DataFrame:
+    return _keyed(raw, "customer_id").rejected
 
 
 def _priced_products(raw: DataFrame) -> Conformed:
     return Rules(
         columns={
             **_same("product_id", "product_name", "category", "brand"),
-            "unit_price": c.money(F.col("unit_price")),
-            "unit_cost": c.money(F.col("unit_cost")),
+            "unit_price": c.price(F.col("unit_price")),
+            "unit_cost": c.price(F.col("unit_cost")),
             **_same(*_arrival(raw)),
         },
         rejects={
@@ -56,34 +64,73 @@ def _priced_products(raw: DataFrame) -> Conformed:
 
 def products(raw: DataFrame) -> DataFrame:
     """First delivered row per product among those with a positive price."""
-    priced = _priced_products(raw).accepted
+    priced = _priced_products(_keyed(raw, "product_id").accepted).accepted
     return first_by_key(priced, ["product_id"]).drop(*_arrival(raw))
 
 
 def rejected_products(raw: DataFrame) -> DataFrame:
-    return _priced_products(raw).rejected
+    keyed = _keyed(raw, "product_id")
+    return keyed.rejected.unionByName(_priced_products(keyed.accepted).rejected)
+
+
+def _readable(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+
+
+def _numbers_lines(raw: DataFrame) -> bool:
+    return "line_no" in raw.schema["items"].dataType.elementType.names
 
 
 def first_events(raw: DataFrame) -> DataFrame:
-    """Order events as first delivered; redelivered and unreadable ones are gone."""
-    readable = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
-    return first_by_key(readable, _event_key(raw))
+    """The documents of each order's first delivery; redelivered, unreadable and
+    keyless ones are gone.
+
+    Repeated documents go first: those of an order that begin with the same line (or
+    whose lines have no numbers, so that each is a whole order). A window limited to
+    one row per document spreads even a huge order by its documents. Then the first
+    arrival of every order, a narrow aggregate, picks the delivery; all its documents
+    stay, however either delivery was cut.
+    """
+    readable = _readable(raw).where(F.col("order_id").isNotNull())
+    begins = F.array_min("items.line_no") if _numbers_lines(raw) else F.lit(None)
+    documents = first_by_key(readable.withColumn("_begins", begins.cast("string")), ["order_id", "_begins"]).drop("_begins")
+    arrival = _arrival(raw)
+    if not arrival or not _numbers_lines(raw):
+        return documents
+    moment = F.struct(*[part for c in arrival for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
+    first = readable.groupBy(F.col("order_id").alias("_order")).agg(F.min(moment).alias("_first"))
+    return (
+        documents.join(first, F.col("order_id") == F.col("_order"))
+        .where(moment.eqNullSafe(F.col("_first")))
+        .drop("_order", "_first")
+    )
+
+
+def keyless_lines(raw: DataFrame) -> DataFrame:
+    """Lines of readable documents without an order to belong to; a document without
+    items counts as one."""
+    lost = _readable(raw).where(F.col("order_id").isNull())
+    lines = lost.withColumn("item", F.explode_outer("items")).drop("items")
+    return lines.select(F.lit("missing_key").alias(REASON), F.to_json(F.struct(*lines.columns)).alias(RECORD))
 
 
 def conformed_lines(events: DataFrame) -> Conformed:
     """Order events exploded to one typed row per item, with derived amounts.
 
-    ``order_item_id`` is made of the event key and the item's position, since an
-    order may list the same product twice. An event without items yields one
-    rejected row, so that it is accounted for by the same pass.
+    ``order_item_id`` is made of the order and the item's line number, or its position
+    where the source numbers no lines, since an order may list the same product twice.
+    An event without items yields one rejected row, so that it is accounted for by the
+    same pass.
     """
+    position = (F.col("position") + 1).cast("string")
+    line_no = F.coalesce("item.line_no", position) if _numbers_lines(events) else position
     exploded = events.select("*", F.posexplode_outer("items").alias("position", "item")).drop("items")
     typed = exploded.select(
         *exploded.columns,
-        F.concat_ws("-", *_event_key(events), (F.col("position") + 1).cast("string")).alias("order_item_id"),
+        F.concat("order_id", F.lit("-"), line_no).alias("order_item_id"),
         c.instant(F.col("order_ts")).alias("ordered_at"),
         c.whole(F.col("item.quantity")).alias("quantity"),
-        c.money(F.col("item.unit_price")).alias("unit_price"),
+        c.price(F.col("item.unit_price")).alias("unit_price"),
         c.rate(F.col("item.discount_pct")).alias("discount_pct"),
     ).withColumn("gross_amount", c.gross(F.col("quantity"), F.col("unit_price")))
     return Rules(
@@ -120,11 +167,12 @@ def unreadable_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(raw_products: DataFrame, raw_orders: DataFrame) -> DataFrame:
+def quarantine(raw_customers: DataFrame, raw_products: DataFrame, raw_orders: DataFrame) -> DataFrame:
     """Everything turned away on the way to silver: source, reason, original row."""
     parts = {
+        "customers": rejected_customers(raw_customers),
         "products": rejected_products(raw_products),
-        "orders": unreadable_events(raw_orders),
+        "orders": unreadable_events(raw_orders).unionByName(keyless_lines(raw_orders)),
         "order_items": conformed_lines(first_events(raw_orders)).rejected,
     }
     tagged = [df.select(F.lit(source).alias("source"), REASON, RECORD) for source, df in parts.items()]

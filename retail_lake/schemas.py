@@ -8,6 +8,7 @@ JSON numbers keep their digits when read as text, so a price reaches
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+PRICE = "decimal(18,6)"  # of one unit: finer than amounts, which alone are rounded
 RATE = "decimal(5,4)"
 
 CORRUPT = "_corrupt_record"
@@ -27,10 +28,10 @@ RAW_CUSTOMERS = _text(
 RAW_PRODUCTS = _text(
     "product_id", "product_name", "category", "brand", "unit_price", "unit_cost"
 )
-ORDER_ITEM = _text("product_id", "quantity", "unit_price", "discount_pct")
+# ``line_no`` is optional: a source that cuts large orders into several documents
+# numbers the lines itself; otherwise the position in the document counts.
+ORDER_ITEM = _text("product_id", "quantity", "unit_price", "discount_pct", "line_no")
 RAW_ORDERS = (
     _text("order_id", "customer_id", "order_ts", "channel", "payment_method", "status")
     .add("items", T.ArrayType(ORDER_ITEM))
-    # Ours: numbers the documents of an order too large for one; absent otherwise.
-    .add("part_no", T.StringType())
 )

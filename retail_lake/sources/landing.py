@@ -1,5 +1,8 @@
 """Readers of the landing files and the lineage columns they carry from there on."""
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +19,31 @@ from retail_lake.schemas import (
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Delimited text with a header line; every column stays text."""
-    return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")
+    """Delimited text with a header line; every column stays text.
+
+    Columns are taken by name, each file by its own header, so their order may differ
+    from file to file. A file that lacks a column of ``schema`` is an error; columns
+    beyond it are kept as they are named. A row that does not have its header's number
+    of fields is kept whole in ``_corrupt_record``.
+    """
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(max_workers=8) as pool:  # a header is one line of one small job
+        headers = list(pool.map(lambda file: tuple(spark.read.csv(file, header=True).columns), files))
+    parts = []
+    for header in sorted(set(headers)):
+        same = [file for file, own in zip(files, headers, strict=True) if own == header]
+        if missing := [name for name in schema.names if name not in header]:
+            raise ValueError(f"{same[0]} has no column {', '.join(missing)}")
+        own = T.StructType([T.StructField(name, T.StringType()) for name in (*header, CORRUPT)])
+        reader = spark.read.schema(own).option("columnNameOfCorruptRecord", CORRUPT)
+        if any("=" in file.removeprefix(path) for file in same):
+            reader = reader.option("basePath", path)
+        rows = reader.csv(same, header=True, mode="PERMISSIVE")
+        others = [name for name in rows.columns if name not in schema.names]
+        parts.append(rows.select(*schema.names, *others, F.col("_metadata.file_name").alias(SOURCE_FILE)))
+    if not parts:
+        raise ValueError(f"{path} holds no file")
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -33,12 +59,11 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def with_lineage(df: DataFrame, source_file: str | Column, batch_id: int | None = None) -> DataFrame:
-    """Append ingest time and source file, and the batch number unless rows carry
-    one (as they do when a landing folder has ``batch_id=<n>`` subfolders)."""
-    added = {
-        INGESTED: F.current_timestamp(),
-        SOURCE_FILE: F.lit(source_file) if isinstance(source_file, str) else source_file,
-    }
+    """Append ingest time, and source file and batch number unless rows carry them (as
+    they do when a landing folder has ``batch_id=<n>`` subfolders)."""
+    added = {INGESTED: F.current_timestamp()}
+    if SOURCE_FILE not in df.columns:
+        added[SOURCE_FILE] = F.lit(source_file) if isinstance(source_file, str) else source_file
     if batch_id is not None and BATCH not in df.columns:
         added[BATCH] = F.lit(batch_id)
     return df.withColumns(added)

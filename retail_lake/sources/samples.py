@@ -8,12 +8,11 @@ unparsable prices, zero quantities, and order events delivered twice.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lake.schemas import BATCH, CORRUPT, MONEY, RATE
+from retail_lake.functions.columns import date_key
+from retail_lake.schemas import BATCH, CORRUPT, MONEY, PRICE, RATE
 
-# An order document holds at most about this many items; see ``order_events``.
-MAX_ITEMS = 100_000
-# Bound of the broadcast list of oversized orders (16 bytes a row).
-MAX_SPLIT_ORDERS = 1_000_000
+# An order document holds at most this many items; see ``order_events``.
+CHUNK_ITEMS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +23,20 @@ def _padded(prefix: str, key: str, digits: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), digits, "0"))
 
 
-def _redelivered(df: DataFrame, again: Column) -> DataFrame:
-    """Deliver every row in batch 1 and those matching ``again`` in batch 2 too,
-    from a single pass over the input."""
-    once, twice = F.array(F.lit(1)), F.array(F.lit(1), F.lit(2))
-    return df.withColumn(BATCH, F.explode(F.when(again, twice).otherwise(once)))
+def _delivered(df: DataFrame, again: Column, keyless: Column) -> DataFrame:
+    """Deliver every row in batch 1, those matching ``again`` in batch 2 too, and those
+    matching ``keyless`` once more in batch 1 without their key, from a single pass."""
+    delivery = lambda batch, lost: F.struct(F.lit(batch).alias("batch"), F.lit(lost).alias("keyless"))
+    deliveries = F.array_compact(
+        F.array(delivery(1, False), F.when(again, delivery(2, False)), F.when(keyless, delivery(1, True)))
+    )
+    return df.withColumn("_delivery", F.explode(deliveries)).withColumns(
+        {BATCH: F.col("_delivery.batch"), "_keyless": F.col("_delivery.keyless")}
+    )
+
+
+def _key(prefix: str, key: str, digits: int) -> Column:
+    return F.when(~F.col("_keyless"), _padded(prefix, key, digits))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,16 +44,16 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     located = (
         table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
-    delivered = _redelivered(located, key % 20 == 0)
+    delivered = _delivered(located, key % 20 == 0, key % 40 == 3)
     address = (
         F.when(key % 25 == 3, F.concat(F.upper(name), F.lit("@MAIL.COM ")))
         .otherwise(F.concat(F.lower(name), F.lit("@mail.com")))
     )
     return delivered.select(
-        _padded("C", "c_custkey", 6).alias("customer_id"),
+        _key("C", "c_custkey", 6).alias("customer_id"),
         name.alias("full_name"),
         F.when(F.col(BATCH) == 2, F.upper(address)).otherwise(address).alias("email"),
         F.when(key % 25 == 7, F.lit(""))
@@ -63,8 +71,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, price = F.col("p_partkey"), F.col("p_retailprice")
-    return table(spark, sf_dir, "part").select(
-        _padded("P", "p_partkey", 5).alias("product_id"),
+    delivered = _delivered(table(spark, sf_dir, "part"), F.lit(False), key % 40 == 3)
+    return delivered.select(
+        _key("P", "p_partkey", 5).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
@@ -76,83 +85,45 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast(MONEY)
         .cast("string")
         .alias("unit_cost"),
-        F.lit(1).alias(BATCH),
-    )
-
-
-def _split_orders(lineitem: DataFrame, max_items: int) -> DataFrame:
-    """Orders too large for one document, with the number of parts they need.
-
-    At most ``MAX_SPLIT_ORDERS`` rows, so it can be broadcast at any scale. Any
-    order left out has few lines, or fewer than each of a million listed ones,
-    hence at most a millionth of all lines: its document is bounded either way.
-    """
-    return (
-        lineitem.groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > max_items)
-        .orderBy(F.desc("n"), "l_orderkey")
-        .limit(MAX_SPLIT_ORDERS)
-        .select(
-            F.col("l_orderkey").alias("split_key"),
-            F.ceil(F.col("n") / max_items).cast("int").alias("parts"),
-        )
+        BATCH,
     )
 
 
-def order_events(spark: SparkSession, sf_dir: str, max_items: int = MAX_ITEMS) -> DataFrame:
+def order_events(spark: SparkSession, sf_dir: str, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     """Order events with nested items; orders without a line have no items.
 
-    Lines are gathered into documents per (order, part). Only an order of more
-    than ``max_items`` lines has several parts, filled round robin, so that a
-    huge order is spread over tasks and documents. ``part_no`` is NULL for the
-    others.
+    Each item carries its own line number, made of what identifies the line in the
+    source, so that it does not depend on the documents. Lines of an order are
+    brought together and cut into documents of at most ``chunk_items``, by one rule
+    for all orders: adaptive execution splits an order too large for one task, and
+    no document is larger than a chunk. How an order was cut changes no result.
     """
-    lineitem = table(spark, sf_dir, "lineitem")
-    split = _split_orders(lineitem, max_items)
-
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     lines = (
-        lineitem.withColumn("scan_row", F.monotonically_increasing_id())
-        .join(F.broadcast(split), F.col("l_orderkey") == F.col("split_key"), "left")
-        .withColumn("part", F.coalesce(F.col("scan_row") % F.col("parts"), F.lit(0)).cast("int"))
-        .join(
-            table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"),
-            F.col("l_partkey") == F.col("p_partkey"),
-        )
-    )
-    position = (
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-        "l_extendedprice", "l_quantity", "l_discount",
+        table(spark, sf_dir, "lineitem")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .hint("rebalance", "l_orderkey")
+        .withColumn("chunk", F.floor(F.monotonically_increasing_id() / chunk_items))
     )
     no_quantity = (F.col("l_orderkey") % 50 == 11) & (F.col("l_linenumber") == 1)
+    line_no = F.concat_ws(".", "l_linenumber", "l_partkey", "l_suppkey", date_key(F.col("l_shipdate")))
+    # Prices of four decimals: negotiated with the supplier.
+    fraction = (F.col("l_suppkey") % 100).cast("decimal(3,0)") * F.lit("0.0001").cast("decimal(5,4)")
+    price = (F.col("p_retailprice").cast(MONEY) + fraction).cast(PRICE)
     item = F.struct(
         _padded("P", "l_partkey", 5).alias("product_id"),
         F.when(no_quantity, 0).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
-        F.col("p_retailprice").cast(MONEY).alias("unit_price"),
+        price.alias("unit_price"),
         F.col("l_discount").cast(RATE).alias("discount_pct"),
+        line_no.alias("line_no"),
     )
-    # Shuffled flat: gathering before the shuffle would only sort more, as the
-    # lines of an order lie anywhere in the input.
-    documents = lines.repartition("l_orderkey", "part").groupBy("l_orderkey", "part").agg(
-        F.sort_array(F.collect_list(F.struct(*position, item.alias("item"))))
-        .getField("item")
-        .alias("items")
-    )
+    documents = lines.groupBy("l_orderkey", "chunk").agg(F.collect_list(item).alias("items"))
 
-    headers = (
-        table(spark, sf_dir, "orders")
-        .join(F.broadcast(split), F.col("o_orderkey") == F.col("split_key"), "left")
-        .withColumn("order_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-    )
-    orders = headers.join(
-        documents,
-        (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("order_part") == F.col("part")),
-        "left",
-    )
-    channel, status = F.col("o_orderkey") % 4, F.col("o_orderstatus")
-    return _redelivered(orders, F.col("o_orderkey") % 25 == 0).select(
-        _padded("O", "o_orderkey", 8).alias("order_id"),
-        F.when(F.col("parts").isNotNull(), F.col("order_part")).alias("part_no"),
+    key = F.col("o_orderkey")
+    channel, status = key % 4, F.col("o_orderstatus")
+    deliveries = _delivered(table(spark, sf_dir, "orders"), key % 25 == 0, key % 100 == 7)
+    return deliveries.join(documents, key == F.col("l_orderkey"), "left").select(
+        _key("O", "o_orderkey", 8).alias("order_id"),
         _padded("C", "o_custkey", 6).alias("customer_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("order_ts"),
         F.when(channel == 0, "web")
@@ -171,9 +142,9 @@ def order_events(spark: SparkSession, sf_dir: str, max_items: int = MAX_ITEMS) -
     )
 
 
-def write_csv_export(df: DataFrame, path: str) -> None:
+def write_csv_export(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Delimited text with a header, one subfolder per batch, untidy text kept."""
-    df.write.partitionBy(BATCH).csv(
+    df.write.mode(mode).partitionBy(BATCH).csv(
         path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
 
