@@ -1,0 +1,193 @@
+"""Shards and archives against plain recomputation."""
+
+import hashlib
+import io
+import math
+import struct
+import zipfile
+import zlib
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+import pytest
+import xxhash
+from pyarrow import fs
+from pyspark.sql import functions as F
+
+from retail_lake.llm import sharding, warc
+from tests.conftest import SMALL
+from tests.llm.conftest import ROWS, cluttered
+from tests.oracle import actual, connect, expected
+
+
+def bid(key, shard, weight=1.0):
+    """XXH64 chained over the columns as Spark does; NULL leaves the seed as it is."""
+    seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+    bits = xxhash.xxh64_intdigest(struct.pack("<q", shard), seed) >> 11
+    return (-math.log((bits + 0.5) / 2**53) / weight, shard)
+
+
+def test_shards_of_all_documents(spark, small_docs):
+    texts = {r.doc_id: r.text.encode() for r in small_docs.collect()}
+    rows = sharding.op1_rendezvous_shards(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        assert (r.size, r.text_crc32, r.law) == (len(texts[r.doc_id]) + 16, zlib.crc32(texts[r.doc_id]), "key")
+        assert r.shard == min(bid(r.doc_id, s) for s in range(40))[1]
+        assert r.grown_shard == min(bid(r.doc_id, s) for s in range(41))[1]
+        assert r.grown_shard in (r.shard, 40)
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+
+
+def test_sharding_is_native(spark):
+    plan = sharding.op1_rendezvous_shards(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_weights_share_the_keys_and_growth_moves_few(spark):
+    keys = spark.range(40_000).withColumnRenamed("id", "key")
+    before = dict(sharding.assign(keys, "key", [1, 2, 0, 1]).collect())
+    shares = Counter(before.values())
+    assert shares[2] == 0 and abs(shares[1] / 40_000 - 0.5) < 0.02 and abs(shares[0] / 40_000 - 0.25) < 0.02
+    after = dict(sharding.assign(keys, "key", [1, 2, 0, 1, 1]).collect())
+    moved = [k for k in before if before[k] != after[k]]
+    assert {after[k] for k in moved} == {4} and abs(len(moved) / 40_000 - 0.2) < 0.02
+    with pytest.raises(ValueError):
+        sharding.shard_of(F.col("key"), [0.0])
+
+
+def test_repeated_and_null_keys(docs, no_docs):
+    assigned = sharding.assign(docs, "doc_id", [1.0] * 3)
+    assert Counter(assigned.columns) == Counter(docs.columns)  # the clashing column is replaced
+    rows = sharding.numbered(assigned.select("doc_id", "shard"), "shard", "slot").collect()
+    assert len(rows) == len(ROWS)
+    assert all(r.shard == min(bid(r.doc_id, s) for s in range(3))[1] for r in rows)
+    for shard in {r.shard for r in rows}:
+        own = sorted(r.slot for r in rows if r.shard == shard)
+        assert own == list(range(len(own)))
+    none = sharding.assign(no_docs, "doc_id", [1.0])
+    assert sharding.numbered(none.select("shard"), "shard", "slot").count() == 0
+
+
+def test_written_shards(spark, docs, tmp_path):
+    assigned = sharding.assign(docs.select("doc_id", "text"), "doc_id", [1.0] * 4)
+    sharding.write_shards(assigned, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
+
+
+LONG = "<p>" + "long payload " * 400
+PAGES = [
+    (1, "http://a.com/", LONG),
+    (2, "http://b.com/", LONG),
+    (3, None, LONG),
+    (3, None, LONG),
+    (None, "http://c.com/", LONG),
+    (4, "http://d.com/\r\nX: y", "short"),
+    (5, "http://d.com/", "short"),
+    (6, "", None),
+    (7, "u", ""),
+    (8, "é", "é" * 500),
+    (9, "é", "é" * 500),
+    (10, "u", "x" * 999),
+    (11, "u", "x" * 999),
+    (12, "big", "WARC/1.1\r\n\r\n" * 300_000),
+    (None, "n1", "y" * 1000),
+    (None, "n2", "y" * 1000),
+]
+
+
+def brute_pages(rows):
+    groups = defaultdict(list)
+    for key, _, html in rows:
+        groups[html or ""].append(key)
+    out = []
+    for key, url, html in rows:
+        data = (html or "").encode()
+        last = max((k for k in groups[html or ""] if k is not None), default=None)
+        revisit = len(data) >= 1000 and last is not None and key != last
+        out.append((key, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", last if revisit else None))
+    return out
+
+
+def test_archives_of_all_pages(spark):
+    with connect(SMALL) as con:
+        assert actual(warc.op9_warc_round_trip(spark, SMALL)) == expected(con, warc.OP9_SQL)
+
+
+def test_archive_edge_cases(spark, tmp_path, monkeypatch):
+    df = cluttered(spark.createDataFrame(PAGES, "page_id bigint, url string, html string"))
+    pages = df.select("page_id", "url", df["html"].alias("payload"))
+    archives = warc.write(pages, str(tmp_path / "archives"))
+    assert archives.agg(F.sum("records")).first()[0] == len(PAGES)
+    rows = warc.read(archives).collect()
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows]
+    assert sorted(got, key=str) == sorted(brute_pages(PAGES), key=str)
+    payloads = {(k, h or "") for k, _, h in PAGES}
+    for r in rows:
+        assert (r.payload is None) == (r.record_type == "revisit")
+        assert r.payload is None or (r.page_id, bytes(r.payload).decode()) in payloads
+    urls = {r.page_id: r.url for r in rows}
+    assert urls[4] == "http://d.com/%0D%0AX: y" and urls[3] is None and urls[6] == ""
+    none = warc.write(pages.where("false"), str(tmp_path / "none"))
+    assert warc.read(none).count() == 0
+
+
+def opened(data, tmp_path):
+    path = tmp_path / "a.zip"
+    path.write_bytes(data)
+    return warc.Archive(fs.LocalFileSystem().open_input_file(str(path)))
+
+
+@pytest.mark.parametrize("wide", [False, True])
+@pytest.mark.parametrize("comment", [b"", b"PK\5\6 a comment that looks like the end PK\5\6"])
+def test_directories_of_archives(tmp_path, wide, comment):
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_STORED) as archive:
+        for name, content in (("é/one", b"first"), ("two", b"second" * 100)):
+            with archive.open(name, "w", force_zip64=wide) as member:
+                member.write(content)
+        archive.comment = comment
+    found = opened(data.getvalue(), tmp_path)
+    entries = found.entries()
+    assert set(entries) == {"é/one", "two"}
+    for name, content in (("é/one", b"first"), ("two", b"second" * 100)):
+        assert found.read(found.stored(entries[name]), entries[name].size) == content
+
+
+def test_zip64_directory(tmp_path):
+    """More members than 16 bits can count need the ZIP64 end record."""
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for n in range(65_600):
+            archive.writestr(zipfile.ZipInfo(str(n)), b"")
+        archive.writestr("last", b"here")
+    found = opened(data.getvalue(), tmp_path)
+    entries = found.entries()
+    assert len(entries) == 65_601
+    assert found.read(found.stored(entries["last"]), entries["last"].size) == b"here"
+
+
+def test_wide_sizes_and_offsets_in_the_extra_field():
+    extra = struct.pack("<HHI", 9, 4, 0) + struct.pack("<HHQQQ", 1, 24, 10, 5_000_000_000, 6_000_000_000)
+    wide = warc._NONE32
+    assert warc.Archive._wide(extra, wide, wide, wide) == (5_000_000_000, 6_000_000_000)
+    extra = struct.pack("<HHQ", 1, 8, 7_000_000_000)
+    assert warc.Archive._wide(extra, 3, 4, wide) == (4, 7_000_000_000)
+
+
+def test_damaged_archives_are_errors(tmp_path):
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("packed", b"x" * 1000)
+    found = opened(data.getvalue(), tmp_path)
+    with pytest.raises(ValueError, match="compressed"):
+        found.stored(found.entries()["packed"])
+    with pytest.raises(ValueError, match="not a ZIP"):
+        opened(b"nothing of the kind", tmp_path).entries()
+    good = warc.record(1, "u", b"payload", None)
+    assert warc.parsed(good)[:4] == (1, "u", "response", None)
+    with pytest.raises(ValueError, match="damaged"):
+        warc.parsed(good.replace(b"payload", b"pAyload"))
