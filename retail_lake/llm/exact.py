@@ -62,7 +62,7 @@ def groups(contents: DataFrame) -> DataFrame:
 
 def exact_duplicates(df: DataFrame, keep: Sequence[str], digest: Callable[[bytes], bytes] = sha256) -> DataFrame:
     """The columns ``keep`` of every row of ``(doc_id, text)`` with ``_digest``,
-    ``keep_id``, ``group_size`` and ``kept``.
+    ``keep_id``, ``group_size`` and ``kept``, none of which ``keep`` may name.
 
     Texts are equal when identical after lower-casing A-Z; NULL counts as empty. The
     row with the greatest ``doc_id`` stays; rows that repeat both id and text are one
@@ -85,7 +85,8 @@ def exact_duplicates(df: DataFrame, keep: Sequence[str], digest: Callable[[bytes
 
 def survivors(df: DataFrame) -> DataFrame:
     """The rows of ``df`` that stay, with its own columns."""
-    return exact_duplicates(df, df.columns).where("kept").select(*df.columns)
+    inner = df.toDF(*[c if c in ("doc_id", "text") else f"own_{n}" for n, c in enumerate(df.columns)])
+    return exact_duplicates(inner, inner.columns).where("kept").select(*inner.columns).toDF(*df.columns)
 
 
 def op8_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
