@@ -33,8 +33,8 @@ BANDS = 32
 ROWS = 5
 #: A link has intersection / union of at least PERCENT / 100.
 PERCENT = 75
-#: Bits of a set's parity bitmap.
-PARITIES = 2048
+#: Bits of a set's parity bitmap; with more, the sieve outgrows what the JVM compiles.
+PARITIES = 1024
 #: Ids that may be broadcast to fetch texts (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, parity array<bigint>"
