@@ -194,7 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     sample = usable.where("toxic = 1").orderBy(*order).limit(positive)
     sample = sample.unionByName(usable.where("toxic = 0").orderBy(*order).limit(negative))
-    marked = docs.join(F.broadcast(sample), "doc_id")  # at most positive + negative rows
+    texts = renamed(docs, doc_id="doc_id", text="text")
+    marked = texts.join(F.broadcast(sample), "doc_id")  # at most positive + negative rows
     # Bounded by the sample, hence one task.
     bounded = marked.groupBy(F.sha2("text", 256).alias("same")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     ordered = bounded.repartition(1).sortWithinPartitions("same").select("text", F.col("toxic").cast("int").alias("toxic"))
