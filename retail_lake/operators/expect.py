@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 ROWS = "rows"
 
+# Fixed values, below: names and wording of the checks' results, which alerts match.
+
 
 @dataclass(frozen=True)
 class Expectation:

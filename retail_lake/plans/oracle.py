@@ -49,7 +49,7 @@ raw_lines AS (
       concat('P', lpad(CAST(l_partkey AS VARCHAR), 5, '0')) AS product_id,
       CASE WHEN o_orderkey % 50 = 11 AND l_linenumber = 1 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity,
       CAST(CAST(p_retailprice AS DECIMAL(18,2))
-        + CAST(l_suppkey % 100 AS DECIMAL(3,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,6)) AS unit_price,
+        + CAST(l_suppkey % 100 AS DECIMAL(3,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(24,6)) AS unit_price,
       CAST(l_discount AS DECIMAL(5,4)) AS discount_pct
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey)
   SELECT l.*, 1 AS batch_id FROM l
@@ -93,9 +93,9 @@ clean_customers AS (
 _PRODUCTS = """
 clean_products AS (
   SELECT product_id, product_name, category, brand,
-    TRY_CAST(unit_price AS DECIMAL(18,6)) AS unit_price,
-    TRY_CAST(unit_cost AS DECIMAL(18,6)) AS unit_cost
-  FROM raw_products WHERE product_id IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(18,6)) > 0)"""
+    TRY_CAST(unit_price AS DECIMAL(24,6)) AS unit_price,
+    TRY_CAST(unit_cost AS DECIMAL(24,6)) AS unit_cost
+  FROM raw_products WHERE product_id IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(24,6)) > 0)"""
 
 _DATES = """
 dates AS (
@@ -188,9 +188,9 @@ SELECT 'orders', 'missing_key', count(*)
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey % 100 = 7 HAVING count(*) > 0
 UNION ALL
 SELECT 'products' AS source,
-  CASE WHEN TRY_CAST(unit_price AS DECIMAL(18,6)) IS NULL THEN 'unparsable_price'
+  CASE WHEN TRY_CAST(unit_price AS DECIMAL(24,6)) IS NULL THEN 'unparsable_price'
        ELSE 'non_positive_price' END AS reject_reason, count(*) AS rejected
-FROM raw_products WHERE product_id IS NOT NULL AND coalesce(TRY_CAST(unit_price AS DECIMAL(18,6)), 0) <= 0
+FROM raw_products WHERE product_id IS NOT NULL AND coalesce(TRY_CAST(unit_price AS DECIMAL(24,6)), 0) <= 0
 GROUP BY ALL
 UNION ALL
 SELECT 'order_items', 'no_items', count(*) FROM orders

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from retail_lake.functions import columns as c
 
+# This status, and the columns of the four tables below.
 REALIZED = "completed"
 
 

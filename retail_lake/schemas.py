@@ -8,7 +8,7 @@ JSON numbers keep their digits when read as text, so a price reaches
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
-PRICE = "decimal(18,6)"  # of one unit: finer than amounts, which alone are rounded
+PRICE = "decimal(24,6)"  # of one unit: finer than amounts, which alone are rounded
 RATE = "decimal(5,4)"
 
 CORRUPT = "_corrupt_record"

@@ -15,10 +15,10 @@ def ids(spark, *values):
 
 
 def test_unique(spark):
-    assert verdicts(ids(spark, 1, 1, 2), expect.unique("id")) == {
-        "unique[id]": (False, "3 rows / 2 distinct")
+    assert verdicts(ids(spark, 7, 8, 7, 9, 7), expect.unique("id")) == {
+        "unique[id]": (False, "5 rows / 3 distinct")
     }
-    assert verdicts(ids(spark, 1, 2, 3), expect.unique("id"))["unique[id]"][0] is True
+    assert verdicts(ids(spark, 40, -40), expect.unique("id"))["unique[id]"][0] is True
 
 
 @pytest.mark.parametrize("values, passed", [((1, None), True), ((1, None, None), False), ((None, None), False)])
@@ -45,13 +45,13 @@ def test_empty_table(spark):
 
 
 def test_min_rows(spark):
-    assert verdicts(ids(spark, 1, 2), expect.min_rows(2, "t")) == {"min_rows[t]": (True, "2 >= 2")}
+    assert verdicts(ids(spark, 6, 6, 6), expect.min_rows(3, "t")) == {"min_rows[t]": (True, "3 >= 3")}
 
 
 def test_non_negative(spark):
-    amounts = spark.createDataFrame([(5.0,), (-1.0,), (None,)], "amount double")
+    amounts = spark.createDataFrame([(0.0,), (-0.25,), (None,), (-80.0,)], "amount double")
     assert verdicts(amounts, expect.non_negative("amount")) == {
-        "non_negative[amount]": (False, "1 negative values")
+        "non_negative[amount]": (False, "2 negative values")
     }
 
 
@@ -65,8 +65,8 @@ def test_all_checks_share_one_scan(spark, tmp_path):
 
 
 def test_gate_raises_naming_the_failures():
-    failed = Row(check="x", passed=False, detail="boom")
-    with pytest.raises(ValueError, match=r"x \(boom\)"):
+    failed = Row(check="min_rows[t]", passed=False, detail="0 >= 4")
+    with pytest.raises(ValueError, match=r"min_rows\[t\] \(0 >= 4\)"):
         expect.gate([failed], fail_on_error=True)
     assert expect.gate([failed], fail_on_error=False) == [failed]
 

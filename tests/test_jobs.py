@@ -220,8 +220,8 @@ def test_single_file_exports(spark, tmp_path, lake):
     landing.mkdir()
     (landing / "customers.csv").write_text(
         "customer_id,full_name,email,country,city,segment,signup_date\n"
-        "C1,Asha Rao,ASHA@MAIL.COM,,Pune,consumer,2023-01-01\n"
-        'C2,"Lee, Ben",ben@mail.com,"",Austin,enterprise,2023-02-01\n'
+        "C1,Mira Holt,MIRA@POST.EXAMPLE,,Nelson,retail,2022-11-30\n"
+        'C2,"Vik, Jon",jon@post.example,"",Bergen,trade,2022-12-24\n'
     )
     (landing / "products.csv").write_text(
         "product_id,product_name,category,brand,unit_price,unit_cost\nP1,Widget,Home,OXO,12.5,5\n"

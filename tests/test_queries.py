@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from retail_lake.plans.oracle import ORACLES
+from retail_lake.plans.registry import QUERIES
 from tests.conftest import CHECKED
 from tests.oracle import actual, connect, expected
 
@@ -14,10 +16,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry_module.queries()[name](spark, CHECKED)
     assert actual(df) == expected(con, entry_module.oracle_sql()[name])
