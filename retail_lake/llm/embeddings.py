@@ -249,3 +249,20 @@ def near_duplicates(df: DataFrame, least: float = LEAST_COSINE, target: float =
 
 def op3_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+# All pairs, hence for small tables; vectors of one length are taken for granted.
+OP3_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+  ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= {LEAST_COSINE}),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+  vec_id <= coalesce(b, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN counted ON vec_id = counted.a"""

@@ -5,10 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lake.llm.bpe import op10_bpe_round_trip
-from retail_lake.llm.embeddings import op3_embedding_near_duplicates
+from retail_lake.llm.embeddings import OP3_SQL, op3_embedding_near_duplicates
 from retail_lake.llm.exact import OP8_SQL, op8_exact_duplicates
 from retail_lake.llm.licenses import op6_license_scan
-from retail_lake.llm.minhash import op2_minhash_near_duplicates
+from retail_lake.llm.minhash import OP2_SQL, op2_minhash_near_duplicates
 from retail_lake.llm.packing import op7_packing
 from retail_lake.llm.sharding import op1_rendezvous_shards
 from retail_lake.llm.toxicity import op5_toxicity
@@ -29,7 +29,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op3_embedding_near_duplicates": op3_embedding_near_duplicates,
+    "op2_minhash_near_duplicates": OP2_SQL,
+    "op3_embedding_near_duplicates": OP3_SQL,
     "op4_url_cascade": OP4_SQL,
     "op8_exact_duplicates": OP8_SQL,
     "op9_warc_round_trip": OP9_SQL,

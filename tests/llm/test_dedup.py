@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from retail_lake.llm import embeddings, exact, minhash
 from retail_lake.llm.components import components
+from retail_lake.llm.registry import ORACLES, QUERIES
 from tests.conftest import SMALL
 from tests.llm.conftest import ROWS, ascii_lower, cluttered, sentence
 from tests.oracle import actual, connect, expected
@@ -57,6 +58,12 @@ def test_near_duplicates_of_all_documents(spark, small_docs):
     assert near(small_docs) == brute_near(rows)
 
 
+@pytest.mark.parametrize("name", ["op2_minhash_near_duplicates", "op3_embedding_near_duplicates"])
+def test_queries_match_their_sql(spark, name):
+    with connect(SMALL) as con:
+        assert actual(QUERIES[name](spark, SMALL)) == expected(con, ORACLES[name])
+
+
 def test_near_duplicate_edge_cases(docs):
     """Repeated and NULL ids besides; a class with an id is named by it."""
     found = minhash.near_duplicates(docs).collect()
