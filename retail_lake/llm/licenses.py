@@ -3,7 +3,8 @@
 Base labels come from phrases whose words stand consecutively. Further labels come
 from an exact set-similarity join of text blocks with license templates: a block
 meets a template if it contains at least ``CONTAINED`` of the template's distinct
-words. Tokens are ordered by how many blocks of the corpus hold them, the rarest
+words. Blocks are lines and windows over the words of the whole text, whatever its
+line breaks, so that a hard-wrapped header is met too. Tokens are ordered by how many blocks of the corpus hold them, the rarest
 first. A template of ``s`` tokens of which ``need`` must occur has one among its
 first ``s - need + 1`` in common with the block's corresponding first ones (prefix
 filter); a block of fewer than ``need`` tokens cannot meet it (length filter); and
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from retail_lake.llm.common import renamed, stored, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A block is a line; a longer one is cut into blocks that overlap by half.
+#: Blocks are lines, the longer ones cut into windows that overlap by half, and such
+#: windows over all words of the text: any stretch of half as many lies in one.
 BLOCK_WORDS = 64
 CONTAINED = 0.9
 #: Tokens of all templates together.
@@ -66,8 +68,9 @@ def _all(conditions) -> Column:
     return first
 
 
-def blocks(lines: Column, vocabulary: Sequence[str]) -> Column:
-    """The distinct words of every block that are in the vocabulary."""
+def blocks(lines: Column, words: Column, vocabulary: Sequence[str], least: int) -> Column:
+    """The distinct words of every block that are in the vocabulary, where they are
+    ``least`` or more. ``words`` are those of all lines."""
     known = F.array(*map(F.lit, vocabulary))
     step = BLOCK_WORDS // 2
 
@@ -76,8 +79,14 @@ def blocks(lines: Column, vocabulary: Sequence[str]) -> Column:
         parts = F.transform(F.sequence(F.lit(0), more), lambda k: F.slice(line, k * step + 1, BLOCK_WORDS))
         return F.when(F.size(line) > BLOCK_WORDS, parts).otherwise(F.array(line))
 
-    reduced = F.transform(F.flatten(F.transform(lines, cut)), lambda b: F.array_intersect(b, known))
-    return F.filter(reduced, lambda b: F.size(b) > 0)
+    across = F.when(F.size(lines) > 1, F.array(words)).otherwise(F.slice(F.array(words), 1, 0))
+    reduced = F.transform(F.flatten(F.transform(F.concat(lines, across), cut)), lambda b: F.array_intersect(b, known))
+    return F.filter(reduced, lambda b: F.size(b) >= least)
+
+
+def needed(tokens: Sequence[str], contained: float) -> int:
+    """How many of a template's distinct words a block must contain."""
+    return max(1, math.ceil(contained * len(tokens) - 1e-9))
 
 
 def scan(
@@ -96,6 +105,7 @@ def scan(
     vocabulary = sorted({t for _, tokens in sets for t in tokens})
     if sum(len(tokens) for _, tokens in sets) > MOST_TOKENS:
         raise ValueError("the templates are too large to be held by every task")
+    least = min((needed(tokens, contained) for _, tokens in sets), default=1)
     docs = renamed(df, doc_id="doc_id", text="text")
     lines = F.transform(F.split(lowered(F.col("text")), "\n"), lambda line: F.regexp_extract_all(line, F.lit(WORD), F.lit(0)))
     worded = docs.select("doc_id", lines.alias("lines")).withColumn("words", F.flatten("lines"))
@@ -111,7 +121,7 @@ def scan(
             F.array_min(all_places).cast("bigint").alias("first_word"),
             F.array_max(all_places).cast("bigint").alias("last_word"),
             F.array_sort(F.array_distinct(F.array_compact(F.array(*base)))).alias("base"),
-            blocks(F.col("lines"), vocabulary).alias("blocks"),
+            blocks(F.col("lines"), F.col("words"), vocabulary, least).alias("blocks"),
         ),
         "license-blocks",
     )
@@ -141,7 +151,7 @@ def contained_templates(blocks: DataFrame, sets: Sequence[tuple[str, Sequence[st
     index = []
     for number, (label, tokens) in enumerate(sets):
         ordered = sorted(tokens, key=rank.get)
-        need = max(1, math.ceil(contained * len(ordered) - 1e-9))
+        need = needed(ordered, contained)
         index += [(t, at, number, label, need, ordered) for at, t in enumerate(ordered[: len(ordered) - need + 1])]
     kind = "token string, at int, template int, label string, need int, template_tokens array<string>"
     prefixes = F.broadcast(spark.createDataFrame(index, kind))  # MOST_TOKENS rows at most

@@ -121,6 +121,41 @@ def test_licenses_of_the_table_and_edge_cases(spark, docs, no_docs, small_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation"
+BSD = (
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted",
+    " * Redistribution and use in source and binary forms,\r\n * with or without\r\n *\r\n * modification, are\r\n * permitted",
+)
+MPL = "# The contents of this file are subject to the terms of the Mozilla Public\n# License"
+BROKEN = "Redistribution and use in source and binary\n" + "word " * 80 + "\nforms with or without modification are permitted"
+
+
+def sliding_license(text):
+    """Labels and best share of the windows that begin at each of the text's words."""
+    words = re.findall(licenses.WORD, ascii_lower(text))
+    labels, best = set(), 0.0
+    for at in range(len(words)):
+        window = set(words[at : at + licenses.BLOCK_WORDS])
+        for label, template in licenses.TEMPLATES:
+            tokens = set(template.split())
+            if len(tokens & window) >= math.ceil(licenses.CONTAINED * len(tokens) - 1e-9):
+                labels.add(label)
+                best = max(best, len(tokens & window) / len(tokens))
+    return ",".join(sorted(labels)), best
+
+
+def test_wrapped_license_headers(spark):
+    """Wherever a header stands in the text, and wherever its lines break."""
+    texts = [MIT, *BSD, MPL, BROKEN]
+    texts += ["word " * n + "\n" + header + "\n" + "word\n" * 40 for header in (MIT, *BSD, MPL, BROKEN) for n in (1, 15, 31, 40, 63, 64, 200)]
+    texts += ["\n".join(re.findall(licenses.WORD, "x " * n + template)) for _, template in licenses.TEMPLATES for n in (0, 30, 60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan(df, phrases={"no such phrase": "none"}).collect()}
+    want = [sliding_license(t) for t in texts]
+    assert [want[i][0] for i in range(5)] == ["mit", "bsd", "bsd", "mpl-2", ""]
+    assert [(got[i].labels, got[i].score) for i in range(len(texts))] == want
+
+
 def test_license_scan_is_native(spark):
     plan = licenses.op6_license_scan(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
