@@ -2,13 +2,13 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_lake.functions import columns as c
 from retail_lake.operators.conform import REASON, RECORD, Conformed, Rules, raw_column
 from retail_lake.operators.keyed import first_by_key
-from retail_lake.schemas import BATCH, CORRUPT, INGESTED
+from retail_lake.schemas import BATCH, CORRUPT, INGESTED, SOURCE_FILE
 
 
 
@@ -81,19 +81,32 @@ def _numbers_lines(raw: DataFrame) -> bool:
     return "line_no" in raw.schema["items"].dataType.elementType.names
 
 
+def _contents(events: DataFrame) -> Column:
+    """A digest of all that a document says, in whatever order it lists its lines and
+    whenever and in whichever file it came; NULL where its lines have no numbers."""
+    if not _numbers_lines(events):
+        return F.lit(None).cast("string")
+    said = [name for name in events.columns if name not in (BATCH, INGESTED, SOURCE_FILE, "items")]
+    whole = F.to_json(
+        F.struct(*said, F.array_sort("items").alias("items")),
+        {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
+    )
+    return F.when(F.array_min("items.line_no").isNotNull(), F.sha2(whole, 256))
+
+
 def first_events(raw: DataFrame) -> DataFrame:
     """The documents of each order's first delivery; redelivered, unreadable and
     keyless ones are gone.
 
-    Repeated documents go first: those of an order that begin with the same line (or
-    whose lines have no numbers, so that each is a whole order). A window limited to
-    one row per document spreads even a huge order by its documents. Then the first
-    arrival of every order, a narrow aggregate, picks the delivery; all its documents
-    stay, however either delivery was cut.
+    Repeated documents go first: those of an order with equal contents (or whose
+    lines have no numbers, so that each is a whole order). Documents that share only
+    some lines, as chunks of an order that lists a line twice may, all stay. A window
+    limited to one row per document spreads even a huge order by its documents. Then
+    the first arrival of every order, a narrow aggregate, picks the delivery; all its
+    documents stay, however either delivery was cut.
     """
     readable = _readable(raw).where(F.col("order_id").isNotNull())
-    begins = F.array_min("items.line_no") if _numbers_lines(raw) else F.lit(None)
-    documents = first_by_key(readable.withColumn("_begins", begins.cast("string")), ["order_id", "_begins"]).drop("_begins")
+    documents = first_by_key(readable.withColumn("_contents", _contents(readable)), ["order_id", "_contents"]).drop("_contents")
     arrival = _arrival(raw)
     if not arrival or not _numbers_lines(raw):
         return documents

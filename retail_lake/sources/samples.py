@@ -96,7 +96,8 @@ def order_events(spark: SparkSession, sf_dir: str, chunk_items: int = CHUNK_ITEM
     source, so that it does not depend on the documents. Lines of an order are
     brought together and cut into documents of at most ``chunk_items``, by one rule
     for all orders: adaptive execution splits an order too large for one task, and
-    no document is larger than a chunk. How an order was cut changes no result.
+    no document is larger than a chunk. How an order was cut changes no result, unless
+    two documents of an order repeat each other line by line and so pass for one.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     lines = (

@@ -49,6 +49,18 @@ def test_cutting_orders_into_documents_changes_nothing(spark, lines, tmp_path, l
     assert cut.exceptAll(lines).count() == 0 and lines.exceptAll(cut).count() == 0
 
 
+def test_cutting_orders_that_repeat_lines_changes_nothing(spark, tmp_path):
+    """Every line twice under one number, in other quantities."""
+    for name in ("lineitem", "orders", "part"):
+        table = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        if name == "lineitem":
+            table = table.unionByName(table.withColumn("l_quantity", F.col("l_quantity") + 1))
+        table.repartition(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    whole, cut = (silver.order_items(samples.order_events(spark, str(tmp_path), chunk_items=n)) for n in (100_000, 3))
+    assert whole.count() > 11_900
+    assert cut.exceptAll(whole).count() == 0 and whole.exceptAll(cut).count() == 0
+
+
 def test_documents_stay_small(spark):
     documents = samples.order_events(spark, SMALL, chunk_items=3)
     assert documents.agg(F.max(F.size("items"))).first()[0] <= 3
