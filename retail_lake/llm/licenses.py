@@ -17,6 +17,7 @@ and index are literals and a checked broadcast.
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from retail_lake.llm.common import renamed, stored, table
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Blocks are lines, the longer ones cut into windows that overlap by half, and such
 #: windows over all words of the text: any stretch of half as many lies in one.
+#: Templates of more than half a window's words have windows of their own, see ``width``.
 BLOCK_WORDS = 64
 CONTAINED = 0.9
 #: Tokens of all templates together.
@@ -68,16 +70,24 @@ def _all(conditions) -> Column:
     return first
 
 
-def blocks(lines: Column, words: Column, vocabulary: Sequence[str], least: int) -> Column:
-    """The distinct words of every block that are in the vocabulary, where they are
-    ``least`` or more. ``words`` are those of all lines."""
+def width(text: str) -> int:
+    """Words of the windows for a template: twice its own at least, in powers of two."""
+    words = BLOCK_WORDS
+    while words < 2 * len(text.split()):
+        words *= 2
+    return words
+
+
+def blocks(lines: Column, words: Column, vocabulary: Sequence[str], least: int, most: int) -> Column:
+    """The distinct words of every block of at most ``most`` words that are in the
+    vocabulary, where they are ``least`` or more. ``words`` are those of all lines."""
     known = F.array(*map(F.lit, vocabulary))
-    step = BLOCK_WORDS // 2
+    step = most // 2
 
     def cut(line: Column) -> Column:
-        more = F.ceil((F.size(line) - BLOCK_WORDS) / step).cast("int")
-        parts = F.transform(F.sequence(F.lit(0), more), lambda k: F.slice(line, k * step + 1, BLOCK_WORDS))
-        return F.when(F.size(line) > BLOCK_WORDS, parts).otherwise(F.array(line))
+        more = F.ceil((F.size(line) - most) / step).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), more), lambda k: F.slice(line, k * step + 1, most))
+        return F.when(F.size(line) > most, parts).otherwise(F.array(line))
 
     across = F.when(F.size(lines) > 1, F.array(words)).otherwise(F.slice(F.array(words), 1, 0))
     reduced = F.transform(F.flatten(F.transform(F.concat(lines, across), cut)), lambda b: F.array_intersect(b, known))
@@ -101,11 +111,18 @@ def scan(
     NULL and empty texts have no words and no labels. Rows are told apart by their
     place in the input, so repeated and NULL ids are fine. Other columns are not read.
     """
-    sets = [(label, sorted(set(text.split()))) for label, text in templates]
-    vocabulary = sorted({t for _, tokens in sets for t in tokens})
-    if sum(len(tokens) for _, tokens in sets) > MOST_TOKENS:
+    sets: dict[int, list[tuple[str, list[str]]]] = {}  # by width
+    for label, text in templates:
+        sets.setdefault(width(text), []).append((label, sorted(set(text.split()))))
+    sets = sets or {BLOCK_WORDS: []}
+    if sum(len(tokens) for some in sets.values() for _, tokens in some) > MOST_TOKENS:
         raise ValueError("the templates are too large to be held by every task")
-    least = min((needed(tokens, contained) for _, tokens in sets), default=1)
+
+    def cut_for(most: int) -> Column:
+        vocabulary = sorted({t for _, tokens in sets[most] for t in tokens})
+        least = min((needed(tokens, contained) for _, tokens in sets[most]), default=1)
+        return blocks(F.col("lines"), F.col("words"), vocabulary, least, most).alias(f"blocks{most}")
+
     docs = renamed(df, doc_id="doc_id", text="text")
     lines = F.transform(F.split(lowered(F.col("text")), "\n"), lambda line: F.regexp_extract_all(line, F.lit(WORD), F.lit(0)))
     worded = docs.select("doc_id", lines.alias("lines")).withColumn("words", F.flatten("lines"))
@@ -121,11 +138,12 @@ def scan(
             F.array_min(all_places).cast("bigint").alias("first_word"),
             F.array_max(all_places).cast("bigint").alias("last_word"),
             F.array_sort(F.array_distinct(F.array_compact(F.array(*base)))).alias("base"),
-            blocks(F.col("lines"), F.col("words"), vocabulary, least).alias("blocks"),
+            *map(cut_for, sets),
         ),
         "license-blocks",
     )
-    matches = contained_templates(cut.select("row", F.posexplode("blocks").alias("block", "tokens")), sets, contained)
+    found_by = lambda most: contained_templates(cut.select("row", F.posexplode(f"blocks{most}").alias("block", "tokens")), sets[most], contained)
+    matches = reduce(DataFrame.unionByName, map(found_by, sets))
     best = matches.groupBy("row").agg(F.max("share").alias("share"), F.collect_set("label").alias("more"))
     labels = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
     return cut.join(best, "row", "left").select(

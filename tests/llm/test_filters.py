@@ -156,6 +156,17 @@ def test_wrapped_license_headers(spark):
     assert [(got[i].labels, got[i].score) for i in range(len(texts))] == want
 
 
+def test_long_templates_are_found_in_one_line(spark):
+    """Verbatim, wherever the text's windows begin and end; short templates keep theirs."""
+    long = {n: " ".join(f"grant{n}x" + "abcdefghij"[i // 10 % 10] + "abcdefghij"[i % 10] + "klm"[i // 100] for i in range(n)) for n in (41, 64, 72, 300)}
+    templates = (*((f"long-{n}", t) for n, t in long.items()), ("mit", "released under the mit license"))
+    far = "released under the " + "word " * 100 + "mit license"
+    texts = [("word " * before + t + " word" * 50, f"long-{n}") for n, t in long.items() for before in (0, 16, 33, 150, 1000)] + [(far, "")]
+    df = spark.createDataFrame(list(enumerate(t for t, _ in texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(df, templates=templates).collect()}
+    assert [got[i] for i in range(len(texts))] == [(label, 1.0 if label else 0.0) for _, label in texts]
+
+
 def test_license_scan_is_native(spark):
     plan = licenses.op6_license_scan(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
