@@ -11,8 +11,9 @@ below what the target recall leaves open. Pairs met are verified in double
 precision. As either of two vectors may find the other, few links are missed: see
 the README for measured recall.
 
-The codebooks are fitted on a bounded sample (``SAMPLE`` vectors); all vectors are
-indexed. Equal vectors are one class from the start. Large cells and the queries
+Vectors of different lengths never link; each length has an index of its own, and
+lengths of few vectors are compared whole. The codebooks are fitted on a bounded
+sample (``SAMPLE`` vectors); all vectors are indexed. Equal vectors are one class from the start. Large cells and the queries
 they receive are dealt over blocks, so that a dense cell is the work of many tasks;
 a block sends sums of links and a spanning set of edges, never all its pairs.
 """
@@ -20,6 +21,7 @@ a block sends sums of links and a spanning set of edges, never all its pairs.
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -209,35 +211,58 @@ def links(classes: DataFrame, kind: type, least: float, target: float) -> DataFr
     return stored(left.groupBy(*keys).cogroup(right.groupBy(*theirs)).applyInArrow(compare, _FOUND), "vector-links")
 
 
+def few_links(classes: DataFrame, kind: type, least: float) -> DataFrame:
+    """The same for classes ``(id, weight, vector, size)`` of lengths that have at most
+    ``BLOCK`` each: all pairs of a length in one task."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        home = pa.array(np.zeros(len(group), np.int64))
+        queries = group.append_column("home", home)
+        cells = pa.chunked_array([pa.array([[0]] * len(group), pa.list_(pa.int64()))])
+        members = pa.table({f"m_{n}": group.column(n) for n in ("id", "weight", "vector")} | {"m_cell": home, "m_cells": cells})
+        return _compare(queries, members, kind, least)
+
+    return classes.groupBy("size").applyInArrow(compare, _FOUND)
+
+
+def links_by_length(classes: DataFrame, kind: type, least: float, target: float) -> DataFrame:
+    """The links of all classes ``(id, weight, vector, size)``, length by length. Only
+    lengths of more than ``BLOCK`` classes reach the driver."""
+    counted = classes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+    many = [r["size"] for r in counted.where(F.col("n") > BLOCK).orderBy("size").collect()]
+    alike = lambda size: classes.where(F.col("size") == size).select("id", "weight", "vector")
+    found = [links(alike(size), kind, least, target) for size in many]
+    few = classes.where(~F.col("size").isin(many)) if many else classes
+    found.append(stored(few_links(few, kind, least), "few-links"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def near_duplicates(df: DataFrame, least: float = LEAST_COSINE, target: float = TARGET_RECALL) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``(vec_id, embedding)``.
 
     Vectors that are NULL, empty or zero, or hold NULL or non-finite components, link
-    with nothing, nor do those of another length than most (the greater length of
-    equally many). Repeated rows are one class and link with each other; a class
+    with nothing, and vectors of different lengths not with each other. Repeated rows are one class and link with each other; a class
     without any id links with nothing else. Other columns are not read.
     """
     wide = dict(df.dtypes)["embedding"] != "array<float>"
     kind = np.float64 if wide else np.float32
     rows = renamed(df, vec_id="vec_id", embedding="embedding")
     rows = stored(rows.mapInArrow(lambda b: _rows(b, wide), _ROW), "vectors")
-    size = F.octet_length("vector")
-    usual = rows.where("vector is not null").groupBy(size.alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
-    sound = rows.where(size == F.lit(usual["size"] if usual else 0))
+    rows = rows.withColumn("size", F.octet_length("vector"))
     classes = stored(
-        sound.groupBy("d1", "d2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector")),
+        rows.where("vector is not null").groupBy("d1", "d2", "size").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector")),
         "vector-classes",
     )
-    found = links(classes.where("id is not null").select("id", "weight", "vector"), kind, least, target)
+    found = links_by_length(classes.where("id is not null").select("id", "weight", "vector", "size"), kind, least, target)
     sums = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     reached = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "id")
     named = (
         classes.drop("vector").join(sums, "id", "left").join(reached, "id", "left")
-        .select("d1", "d2", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        .select("d1", "d2", "size", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     )
-    usable = rows.select("vec_id", "d1", "d2", F.coalesce(size == F.lit(usual["size"] if usual else 0), F.lit(False)).alias("usable"))
+    usable = rows.select("vec_id", "d1", "d2", "size", F.col("vector").isNotNull().alias("usable"))
     return (
-        usable.join(named, ["d1", "d2"], "left")
+        usable.join(named, ["d1", "d2", "size"], "left")
         .select(
             "vec_id",
             F.when(F.col("usable"), F.col("n_links")).otherwise(F.lit(0)).cast("bigint").alias("n_links"),

@@ -211,6 +211,25 @@ def test_vector_recall_in_dense_and_loose_groups(spark, kind, monkeypatch):
     assert all(found[k] == want[k] for k, v in rows if want[k][0] == 0 or k < 150)
 
 
+@pytest.mark.parametrize("block", [2, 10, 1024])
+def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, block):
+    """Lengths of many vectors and of few, one of a single component."""
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    rows = []
+    for size, n in ((8, 40), (16, 60), (24, 4)):
+        center = rng.normal(size=size)
+        rows += [center + 0.02 * rng.normal(size=size) for _ in range(n // 2)] + [rng.normal(size=size) for _ in range(n // 2)]
+        rows += [rows[-n]]
+    rows = [np.asarray(v, np.float32).tolist() for v in rows] + [[2.0], [3.0], [-1.0], [], None]
+    rows = list(enumerate(rows))
+    want: dict = {}
+    for size in {len(v or []) for _, v in rows}:
+        want |= brute_vectors([(k, v) for k, v in rows if len(v or []) == size])
+    assert want[0][0] == 20 and want[102][0] == 2 and want[107][0] == 1
+    assert vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")) == want
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embeddings.near_duplicates(empty).count() == 0
