@@ -73,6 +73,35 @@ def pieces(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         yield first, last, part - part[0], data[part[0] : part[-1]]
 
 
+def sections(
+    column: pa.Array, inside: np.ndarray, most: int = CHUNK_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool, bool]]:
+    """Like ``pieces``, but a text of more than ``most`` bytes comes in sections, each cut
+    behind a byte that is not ``inside`` a word (a table of 256 flags), so that no word
+    is cut. The last two items tell whether the section begins and ends its texts."""
+    for first, last, offsets, data in pieces(column, most):
+        start = 0
+        while len(data) - start > most and last - first == 1:
+            size = _last_outside(inside, data, start, most)
+            if start + size >= len(data):
+                break
+            yield first, last, np.array([0, size]), data[start : start + size], start == 0, False
+            start += size
+        yield first, last, offsets - np.minimum(offsets, start), data[start:], start == 0, True
+
+
+def _last_outside(inside: np.ndarray, data: np.ndarray, start: int, most: int) -> int:
+    """Bytes up to the last one outside a word among the next ``most``; where they all
+    belong to one word, up to its end."""
+    at = start
+    while at < len(data):
+        outside = np.flatnonzero(~inside[data[at : at + most]])
+        if len(outside):
+            return at + int(outside[-1 if at == start else 0]) + 1 - start
+        at += most
+    return len(data) - start
+
+
 def distinct(values: np.ndarray) -> np.ndarray:
     """Ascending distinct values, by sorting (``np.unique`` hashes, which is far slower here)."""
     values = np.sort(values)

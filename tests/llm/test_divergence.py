@@ -1,0 +1,116 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from retail_lake.llm import common, divergence
+from retail_lake.llm.divergence import audit
+from tests.llm.conftest import ascii_lower, cluttered
+
+COLUMNS = ("lang", "source", "part", "item", "value", "rank")
+
+
+def brute(rows, least_docs=10, top=10):
+    """Rows ``(text, lang, source)``, all in exact whole numbers of Python."""
+    terms, docs = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in rows:
+        found = Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", ascii_lower(text)))
+        terms[lang or "", source or ""] += found
+        docs[lang or ""].update(found.keys())
+    out = []
+    for lang in docs:
+        kept = [t for t, n in docs[lang].items() if n >= least_docs]
+        sources = [s for own, s in terms if own == lang]
+        whole = sum((terms[lang, s] for s in sources), Counter())
+
+        def shares(counts, kept=kept):
+            total = sum(counts[t] for t in kept) + 2 * len(kept)
+            return {t: 1 + 10**9 * (counts[t] + 2) // total for t in kept}
+
+        price = lambda p, q: (p - q) ** 2 // (p + q)
+        q = shares(whole)
+        for s in sources:
+            p = shares(terms[lang, s])
+            pairs = [(o, sum(price(p[t], r[t]) for t in kept)) for o in sources if o != s for r in [shares(terms[lang, o])]]
+            best = [(t, price(p[t], q[t])) for t in kept if terms[lang, s][t] and p[t] > q[t]]
+            for part, items, most in (("pair", pairs, len(pairs)), ("term", best, top)):
+                items = sorted(items, key=lambda x: (-x[1], x[0].encode()))[:most]
+                out += [(lang, s, part, t, v, n) for n, (t, v) in enumerate(items, 1)]
+    return sorted(out)
+
+
+def found(df, **parameters):
+    return sorted(tuple(r[c] for c in COLUMNS) for r in audit(df, **parameters).collect())
+
+
+def corpus(seed, rows, sources=7):
+    """Skewed terms, a hot source, NULLs, repeats, and a language that keeps no term."""
+    rng = np.random.default_rng(seed)
+    words = ["der", "Die", "das", "été", "İ", "漢字", "a", "B", "x1y", "Zz"] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    out = []
+    for n in range(rows):
+        text = " ".join(words[min(int(rng.zipf(1.3)), len(words)) - 1] for _ in range(rng.integers(0, 30)))
+        lang = [None, "", "de", "de", "de", "rare"][n % 6] if n % 31 else "rare"
+        out.append((text if n % 17 else None, lang, f"s{n % sources}" if n % 3 else "hot"))
+    return out + out[:40] + [("only one", "lone", "s"), (None, "bare", None), ("...", "bare", "x"), ("", "bare", "")]
+
+
+def frame(spark, rows):
+    return cluttered(spark.createDataFrame(rows, "text string, lang string, source string").withColumn("doc_id", F.lit(1)).repartition(5))
+
+
+@pytest.mark.parametrize("parameters", [{}, {"terms": 7, "sources": 2}, {"least_docs": 1, "top": 3, "terms": 16, "sources": 3}])
+def test_it_equals_exact_arithmetic(spark, parameters):
+    rows = corpus(1, 400)
+    kept = {k: v for k, v in parameters.items() if k in ("least_docs", "top")}
+    assert found(frame(spark, rows), **parameters) == brute(rows, **kept)
+
+
+def test_a_text_in_sections_is_one_document(spark, monkeypatch):
+    long = " ".join(f"term{chr(97 + i % 7)} longest{'x' * 90}" for i in range(400))
+    rows = [(long, "l", "a"), (long + " end", "l", "b"), ("terma " * 3, "l", "b")]
+    batches = list(spark.createDataFrame(rows, "text string, lang string, source string").toArrow().to_batches())
+    whole = [r for b in divergence.counted(iter(batches)) for r in b.to_pylist()]
+    cut = lambda column, inside: common.sections(column, inside, most=64)
+    monkeypatch.setattr(divergence, "sections", cut)
+    parts = [r for b in divergence.counted(iter(batches)) for r in b.to_pylist()]
+
+    def sums(rows):
+        out = defaultdict(lambda: [0, 0])
+        for r in rows:
+            for i, c in enumerate(("n", "docs")):
+                out[r["lang"], r["source"], r["term"]][i] += r[c]
+        return dict(out)
+
+    assert sums(whole) == sums(parts)
+    assert sums(parts)["l", "b", "terma"][1] == 2
+
+
+def test_an_empty_table_gives_no_rows(spark):
+    assert found(frame(spark, []).limit(0)) == []
+
+
+def test_shares_are_exact_for_large_counts():
+    rng = np.random.default_rng(0)
+    total = rng.integers(10**14, 8 * 10**15, 500)
+    count = (total * rng.random(500)).astype(np.int64)
+    assert divergence.share(count, total).tolist() == [1 + 10**9 * (int(c) + 2) // int(t) for c, t in zip(count, total, strict=True)]
+
+
+def test_equal_subtrees_are_one_node_and_priced_once():
+    counts = np.zeros((5, 64), np.int64)
+    counts[:, 0] = range(5)
+    forest = divergence.Forest(counts)
+    assert forest.sizes == [5] * 7  # a node for each tree at every level; that of the first one is all that is empty
+    walk = divergence.Walk(forest, np.array([1, 2]), np.array([3, 4]), np.full(5, 200))
+    assert [len(x) for x in walk.met] == [2, 4, 6, 6, 6, 6, 6]  # of up to 128 pairs of leaves
+    assert len(walk.price) == 3
+
+
+def test_each_walk_keeps_all_that_equal_the_last(spark):
+    rows = [(" ".join(f"t{chr(97 + i)}" for i in range(26)), "l", "a")] * 10 + [("other", "l", "b")] * 10
+    terms = [r for r in found(frame(spark, rows)) if r[1:3] == ("a", "term")]
+    assert [r[3] for r in sorted(terms, key=lambda r: r[5])] == [f"t{chr(97 + i)}" for i in range(10)]
+    assert found(frame(spark, rows)) == brute(rows)

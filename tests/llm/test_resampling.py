@@ -1,0 +1,110 @@
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from retail_lake.llm import common, resampling
+from retail_lake.llm.resampling import features, joined_crc, payloads, resampled
+from tests.llm.conftest import ROWS, ascii_lower, cluttered
+
+COLUMNS = ("doc_id", "n_features", "n_words", "weight", "score", "rank")
+PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def runs(text, words):
+    found = PLAIN.findall(ascii_lower(text))
+    return [" ".join(found[i : i + n]) for n in range(1, words + 1) for i in range(len(found) - n + 1)]
+
+
+def brute(docs, target, words=1, buckets=10_000, percent=10, least_words=20, seed=2024):
+    hashed = lambda text: [zlib.crc32(x.encode()) % buckets for x in runs(text, words)]
+    sides = [[0] * buckets, [0] * buckets]
+    for side, rows in zip(sides, (docs, target), strict=True):
+        for _, text in rows:
+            for b in hashed(text):
+                side[b] += 1
+    s, t = sides
+    gain = [math.floor(1000 * math.log((y + 1) * (sum(s) + buckets) / ((x + 1) * (sum(t) + buckets)))) for x, y in zip(s, t, strict=True)]
+    out = []
+    for doc_id, text in docs:
+        found = hashed(text)
+        h = int(hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in found)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc_id, len(found), len(PLAIN.findall(ascii_lower(text))), weight, score, None])
+    drawn = sorted((r for r in out if r[2] >= least_words), key=lambda r: (-r[4], r[0] is None, r[0] or 0, r[1], r[3]))
+    for rank, row in enumerate(drawn[: percent * len(drawn) // 100], 1):
+        row[5] = rank
+    return sorted(map(str, out))
+
+
+def found(spark, docs, target, **parameters):
+    frames = [cluttered(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)) for rows in (docs, target)]
+    return sorted(str([r[c] for c in COLUMNS]) for r in resampled(*frames, **parameters).collect())
+
+
+TARGET = [(1, "the quick BROWN fox"), (2, None), (3, "漢字 é è seven wizards12 quietly4 " * 3)]
+
+
+@pytest.mark.parametrize("parameters", [{}, {"words": 3, "buckets": 97, "percent": 50, "least_words": 2}, {"words": 2, "dictionary": 0, "seed": 5}])
+def test_it_equals_brute_force(spark, parameters):
+    many = [(100 + n % 350, " ".join(ROWS[6][1].split()[n % 40 : n % 90])) for n in range(700)]  # half of them repeats
+    own = {k: v for k, v in parameters.items() if k != "dictionary"}
+    assert found(spark, ROWS + many, TARGET, **parameters) == brute(ROWS + many, TARGET, **own)
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], TARGET) == []
+    assert found(spark, ROWS, []) == brute(ROWS, [])
+    assert found(spark, [(1, None)], []) == brute([(1, None)], [])
+
+
+def test_checksums_compose():
+    rng = np.random.default_rng(3)
+    texts = [rng.bytes(int(n)) for n in [0, 1, 2, 3, 64, 255, 256, 70_000, *rng.integers(0, 40, 50)]]
+    first = np.array([zlib.crc32(x) for x in texts], np.uint32)
+    for shift in range(1, len(texts), 7):
+        others = texts[shift:] + texts[:shift]
+        second = np.array([zlib.crc32(x) for x in others], np.uint32)
+        whole = joined_crc(first, second, np.array([len(x) for x in others], np.int64))
+        assert whole.tolist() == [zlib.crc32(a + b) for a, b in zip(texts, others, strict=True)]
+
+
+def test_the_dictionary_changes_no_payload():
+    data = np.frombuffer("Abc abc,ABCD é1\x00é1 xyz".encode(), np.uint8)
+    offsets = np.array([0, 8, 8, len(data)])
+    plain = payloads(offsets, data, ())
+    assert plain[0].tolist() == [0, 0, 2, 2, 2, 2]
+    assert plain[1].tolist() == [zlib.crc32(w.encode()) for w in ("abc", "abc", "abcd", "é1", "é1", "xyz")]
+    for words in [(b"abc",), ("é1".encode(), b"abcd", b"b", b"bc"), (b"xyz", b"abc", b"abcd")]:
+        assert [x.tolist() for x in payloads(offsets, data, words)] == [x.tolist() for x in plain]
+
+
+@pytest.mark.parametrize("words", [1, 2, 4])
+def test_runs_cross_sections_of_a_long_text(spark, monkeypatch, words):
+    text = " ".join(f"w{i % 13} {'long' * (i % 5)}" for i in range(300))
+    column = spark.createDataFrame([(1, "a b"), (2, text), (3, "c")], "doc_id bigint, text string").toArrow().column("text").combine_chunks()
+    expected = sorted(zlib.crc32(x.encode()) for x in runs(text, words))
+    monkeypatch.setattr(resampling, "sections", lambda c, inside: common.sections(c, inside, most=40))
+    parts = list(resampling.scanned(column, words, (b"w1", b"w2")))
+    assert len(parts) > 20
+    crcs = [crc for first, _, row, crcs, _, _ in parts for r, crc in zip(row, crcs.tolist(), strict=True) if first + r == 1]
+    assert sorted(crcs) == expected
+
+
+def test_runs_stay_in_their_text():
+    row, crc = np.array([0, 0, 1]), np.array([zlib.crc32(w) for w in (b"a", b"bb", b"c")], np.uint32)
+    rows, found = features(row, crc, np.array([1, 2, 1]), 2)
+    assert rows.tolist() == [0, 0, 1, 0]
+    assert found[-1] == zlib.crc32(b"a bb")
+
+
+def test_drawn_ranks_are_gapless(spark, small_docs):
+    target = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").withColumnRenamed("item_id", "doc_id")
+    rows = resampled(small_docs, target, percent=40).collect()
+    ranks = sorted(r["rank"] for r in rows if r["rank"])
+    eligible = sum(r["n_words"] >= 20 for r in rows)
+    assert ranks == list(range(1, 40 * eligible // 100 + 1))
