@@ -11,6 +11,7 @@ from retail_lake.llm.exact import OP8_SQL, op8_exact_duplicates
 from retail_lake.llm.licenses import op6_license_scan
 from retail_lake.llm.minhash import OP2_SQL, op2_minhash_near_duplicates
 from retail_lake.llm.packing import op7_packing
+from retail_lake.llm.personal import op12_personal_data
 from retail_lake.llm.resampling import OP13_SQL, op13_target_resampling
 from retail_lake.llm.sharding import op1_rendezvous_shards
 from retail_lake.llm.toxicity import op5_toxicity
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_round_trip": op9_warc_round_trip,
     "op10_bpe_round_trip": op10_bpe_round_trip,
     "op11_source_divergence": op11_source_divergence,
+    "op12_personal_data": op12_personal_data,
     "op13_target_resampling": op13_target_resampling,
 }
 
