@@ -175,6 +175,14 @@ def spelled_out(kind: str, text: str) -> bool:
     return _BARE_PHONE.fullmatch(text) is not None and parts >= 3 and 10 <= len(_digits(text)) <= 15
 
 
+def suspicious(text: str) -> bool:
+    """Whether a text without base spans may hold one in another spelling."""
+    numbers = any(spelled_out(kind, m.group()) for kind, p in (("phone", _BARE_PHONE), ("card", _GROUPED)) for m in p.finditer(text))
+    signs = [m.group().strip().lower() for m in _AT_SIGN.finditer(text)]
+    spelled = any(s != "at" for s in signs) or (signs and _DOT_SIGN.search(text))
+    return bool(numbers or spelled or re.search(r"[0-9] ?(?:[\[(]\.[\])]|[\[(]?dot[\])]?) ?[0-9]", text, re.I))
+
+
 # -- characters ------------------------------------------------------------------------
 
 # Symbols: each letter whatever its case, all digits, each other ASCII sign, white space,
@@ -201,7 +209,8 @@ def symbols(text: str) -> np.ndarray:
 
 def _pieces_of(text: str, pick: int) -> Iterator[tuple[str, str, str, str]]:
     """``(kind, before, middle, after)``: base spans in their surroundings, free of other
-    matches, and pieces without a match (of no kind), some of them with digits or signs."""
+    matches, and pieces without a match (of no kind), some of them with digits or signs
+    but none that may hold personal data in another spelling."""
     good, bad = base(text)
     taken = sorted([*good, *bad])
     rng = np.random.default_rng(pick % (1 << 32))
@@ -220,8 +229,9 @@ def _pieces_of(text: str, pick: int) -> Iterator[tuple[str, str, str, str]]:
     spots += rng.integers(max(len(text), 1), size=PER_DOCUMENT // 2 - 2).tolist()
     for spot in spots:
         left = max(0, spot - int(rng.integers(PIECE)))
-        if not _meets(taken, left, left + PIECE):
-            yield "", "", text[left : left + PIECE], ""
+        piece = text[left : left + PIECE]
+        if not _meets(taken, left, left + PIECE) and not suspicious(piece):
+            yield "", "", piece, ""
 
 
 def training_pieces(docs: DataFrame, sample: int) -> DataFrame:
