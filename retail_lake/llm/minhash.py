@@ -7,10 +7,14 @@ with the probability of their Jaccard similarity. Bands of bins form buckets.
 
 Documents of equal sets are one class from the start. In each bucket only the star
 around its least class is compared, never all pairs. Stars found to be one
-component settle their bucket; where a bucket still spans several components, its
-classes outside the largest one are compared with those of other components. Links
-inside a component decide nothing, so none that matters is left out. All links
-are confirmed on the full sets.
+component settle their bucket. Where a bucket still spans several components, it gets
+a new star, around a class outside its largest component and with the classes of the
+other components only: a row per member. Components are found anew after each such
+round, so that a class that a star joins to others leaves all its buckets at once.
+What ``ROUNDS`` of these leave apart is mostly unlike; there each class outside the
+largest component meets those of other components, every pair in the first bucket
+that it shares and in no other. Links inside a component decide nothing, so none that
+matters is left out. All links are confirmed on the full sets.
 
 Before texts are fetched, pairs are sifted without loss: every set has a bitmap of
 parities, in which each element flips one bit. Two bitmaps differ in no more bits
@@ -33,6 +37,8 @@ BANDS = 32
 ROWS = 5
 #: A link has intersection / union of at least PERCENT / 100.
 PERCENT = 75
+#: Further stars of a bucket that spans several components.
+ROUNDS = 2
 #: Bits of a set's parity bitmap; with more, the sieve outgrows what the JVM compiles.
 PARITIES = 1024
 #: Ids that may be broadcast to fetch texts (16 bytes each); more are joined by a shuffle.
@@ -179,20 +185,27 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity")),
         "classes",
     )
-    members = classes.where("rep is not null").select("rep", "n", F.explode("bands").alias("bucket"))
+    members = classes.where("rep is not null").select("rep", F.posexplode("bands").alias("band", "bucket"))
     centers = (
         members.groupBy("bucket")
         .agg(F.min("rep").alias("a"), F.max("rep").alias("last"))
         .where("a < last")
         .drop("last")
     )
-    shared = stored(members.join(centers, "bucket").select("bucket", "rep", "a"), "buckets")
-    sets = classes.where("rep is not null").select("rep", "n", "parity")
+    shared = stored(members.join(centers, "bucket").select("bucket", "band", "rep", "a"), "buckets")
+    sets = classes.where("rep is not null").select("rep", "n", "parity", "bands")
     star = shared.where("rep != a").select("a", F.col("rep").alias("b")).distinct()
     star = star.join(_of(sets, "a"), "a").join(_of(sets, "b"), "b").where(may_link("a", "b", percent))
     links = confirmed(star.select("a", "b").distinct(), docs, percent)
-    links = links.unionByName(_remaining(shared, components(links), sets, docs, percent))
-    found = components(links).select(F.col("node").alias("rep"), "component")
+    found, turn = components(links), 0
+    while not (split := _split(shared, found, sets)).isEmpty():
+        turn += 1
+        pairs = _star(split, turn, percent) if turn <= ROUNDS else _remaining(split, percent)
+        links = links.unionByName(confirmed(pairs, docs, percent))
+        found = components(links)
+        if turn > ROUNDS:
+            break
+    found = found.select(F.col("node").alias("rep"), "component")
 
     named = classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     return (
@@ -206,12 +219,10 @@ def _of(sets: DataFrame, end: str) -> DataFrame:
     return sets.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("parity").alias(f"parity_{end}"))
 
 
-def _remaining(shared: DataFrame, found: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links between components that still share a bucket. In such a bucket, each
-    class outside the largest component meets the classes of all other components;
-    pairs that the star has compared are left out."""
+def _split(shared: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of buckets that span several components, with theirs and the largest."""
     labelled = shared.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", "a", F.coalesce("component", "rep").alias("component")
+        "bucket", "band", "rep", "a", F.coalesce("component", "rep").alias("component")
     )
     sizes = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = (
@@ -220,22 +231,43 @@ def _remaining(shared: DataFrame, found: DataFrame, sets: DataFrame, docs: DataF
         .where("parts > 1")
         .select("bucket", F.col("top.component").alias("largest"))
     )
-    split = stored(labelled.join(largest, "bucket").join(sets, "rep"), "split-buckets")
-    one = split.where("component != largest").select("bucket", *_named("x"), "a")
-    other = split.select("bucket", *_named("y"), "largest")
-    pairs = (
+    return stored(labelled.join(largest, "bucket").join(sets, "rep"), "split-buckets")
+
+
+def _star(split: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each bucket's new centre, a class outside the largest component, with the
+    classes of other components."""
+    outside = split.where("component != largest and rep != a")
+    columns = ["n", "parity", "component"]
+    centre = outside.groupBy("bucket").agg(F.min_by(F.struct("rep", *columns), F.xxhash64(F.lit(turn), "rep")).alias("c"))
+    centre = centre.select("bucket", F.col("c.rep").alias("x"), *[F.col(f"c.{n}").alias(f"{_ALIAS[n]}_x") for n in columns])
+    other = split.select("bucket", *_named("y"))
+    return _pairs(centre.join(other, "bucket").where("of_x != of_y").where(may_link("x", "y", percent)))
+
+
+def _remaining(split: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components, at least one of them outside the largest;
+    pairs of a bucket's first star are left out. A pair that shares several buckets is
+    taken in that of the first band."""
+    one = split.where("component != largest").select("bucket", "band", *_named("x"), "a", F.col("bands").alias("bands_x"))
+    other = split.select("bucket", *_named("y"), "largest", F.col("bands").alias("bands_y"))
+    before = F.arrays_overlap(F.slice("bands_x", F.lit(1), F.col("band")), F.slice("bands_y", F.lit(1), F.col("band")))
+    return _pairs(
         one.join(other, "bucket")
         .where("of_x != of_y and (of_y = largest or x < y) and x != a and y != a")
-        .where(may_link("x", "y", percent))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+        .where(may_link("x", "y", percent) & ~before)
     )
-    return confirmed(pairs, docs, percent)
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+_ALIAS = {"rep": "", "n": "n", "parity": "parity", "component": "of"}
 
 
 def _named(end: str) -> list[Column]:
-    names = {"rep": end, "n": f"n_{end}", "parity": f"parity_{end}", "component": f"of_{end}"}
-    return [F.col(name).alias(alias) for name, alias in names.items()]
+    return [F.col(name).alias(f"{alias}_{end}" if alias else end) for name, alias in _ALIAS.items()]
 
 
 def survivors(df: DataFrame) -> DataFrame:

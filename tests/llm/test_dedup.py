@@ -244,3 +244,29 @@ def test_multi_sequence_visits_in_order():
     found = embeddings.multi_sequence(first, second, 0.3)
     sums = [first[i] + second[j] for i, j in found]
     assert sums == sorted(sums) and len(found) == sum(a + b <= 0.3 for a in first for b in second)
+
+
+def test_pairs_of_unlike_members_are_met_once_and_links_among_them_found(spark):
+    """Documents of one family, most of them unlike each other: none of the links that
+    brute force finds between components is lost."""
+    rng = np.random.default_rng(8)
+    root = [f"w{i}" for i in range(240)]
+    rows = []
+    for n in range(160):
+        words = list(root)
+        for at in rng.choice(240, 14, replace=False):  # about 0.55 alike
+            words[at] = f"x{n}.{at}"
+        rows.append((n, " ".join(words)))
+        if n % 4 == 0:
+            words[int(rng.integers(240))] = "changed"
+            rows.append((1000 + n, " ".join(words)))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()}
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(236)} for d, t in rows}
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert len(linked) >= 40
+    assert sum(got[a] == got[b] for a, b in linked) >= 0.99 * len(linked)
+    by_component = {}
+    for d, c in got.items():
+        by_component.setdefault(c, []).append(d)
+    for members in by_component.values():  # nothing unlike is joined
+        assert len(members) == 1 or all(any((min(m, o), max(m, o)) in set(linked) for o in members if o != m) for m in members)
