@@ -38,7 +38,7 @@ ROWS = 5
 #: A link has intersection / union of at least PERCENT / 100.
 PERCENT = 75
 #: Further stars of a bucket that spans several components.
-ROUNDS = 2
+ROUNDS = 1
 #: Bits of a set's parity bitmap; with more, the sieve outgrows what the JVM compiles.
 PARITIES = 1024
 #: Ids that may be broadcast to fetch texts (16 bytes each); more are joined by a shuffle.
