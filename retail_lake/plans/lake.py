@@ -18,7 +18,7 @@ from dataclasses import asdict, dataclass, field
 from pyarrow import fs
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold", "served")
@@ -100,22 +100,27 @@ class Lake:
             df = df.where(staged.where)
         return df.select(*staged.columns)
 
-    def publications(self, layer: str) -> list[dict[str, Staged]]:
-        """Published tables by name, the latest publication last."""
+    def _log(self, layer: str) -> DataFrame | None:
+        """A row per table and publication; None if nothing was published yet."""
         try:
-            rows = self.spark.read.schema(_PUBLICATION).json(f"{self.root}/_published/{layer}").collect()
+            return self.spark.read.schema(_PUBLICATION).json(f"{self.root}/_published/{layer}")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return None
+
+    def _latest(self, layer: str) -> list[Row]:
+        """The rows of the last publication, picked by an aggregate: what reaches the driver
+        is a row per table, however often was published."""
+        if (log := self._log(layer)) is None:
             return []
-        found: dict[tuple, dict[str, Staged]] = {}
-        for r in rows:  # a row per table and publication
-            staged = Staged(r.layer, r["table"], r.path, r.rows, tuple(r["columns"]), r.where)
-            found.setdefault((r.version, r.publication), {})[staged.table] = staged
-        return [found[key] for key in sorted(found)]
+        tables = F.collect_list(F.struct(*log.columns)).alias("tables")
+        last = log.groupBy("version", "publication").agg(tables).agg(F.max_by("tables", F.struct("version", "publication")).alias("tables"))
+        return last.first()["tables"] or []
 
     def published(self, layer: str) -> dict[str, Staged]:
-        return (self.publications(SHOWN.get(layer, layer)) or [{}])[-1]
+        """The current version of each published table by name."""
+        return {r["table"]: _staged(r) for r in self._latest(SHOWN.get(layer, layer))}
 
     def publish(self, tables: Iterable[Staged]) -> None:
         """Make the tables' versions the current ones, all of a layer at once; its other
@@ -126,9 +131,9 @@ class Lake:
         for layer, new in layers.items():
             nothing = self.spark.createDataFrame([], _PUBLICATION)
             nothing.write.mode("ignore").json(f"{self.root}/_published/{layer}")  # at first
-            before = self.publications(layer)
-            mark = {"version": len(before) + 1, "publication": new_run_id()}
-            current = (before[-1] if before else {}) | new
+            before = self._latest(layer)
+            mark = {"version": max((r["version"] for r in before), default=0) + 1, "publication": new_run_id()}
+            current = {r["table"]: _staged(r) for r in before} | new
             rows = [mark | {k: v for k, v in asdict(s).items() if k != "tallies"} for s in current.values()]
             publication = self.spark.createDataFrame(rows, _PUBLICATION).coalesce(1)
             publication.write.mode("append").json(f"{self.root}/_published/{layer}")
@@ -148,13 +153,13 @@ class Lake:
     def expire(self, keep: int = 3, older_than: float = 86_400.0) -> list[str]:
         """Delete written folders that none of a layer's last ``keep`` publications names
         and that are older than ``older_than`` seconds, so that a run under way keeps
-        its own. Returns what was deleted."""
+        its own, and the publications before the last ``keep``. Returns the folders."""
         if keep < 1:
             raise ValueError("the published version must stay")
         store, root = fs.FileSystem.from_uri(self.root)
         gone = []
         for layer in LAYERS:
-            named = {s.path.rsplit("/", 1)[-1] for tables in self.publications(layer)[-keep:] for s in tables.values()}
+            named = self._trimmed(layer, keep, store)
             for table in _folders(store, f"{root}/{layer}"):
                 for version in _folders(store, table.path):
                     aged = time.time() - version.mtime.timestamp() >= older_than if version.mtime else False
@@ -163,6 +168,19 @@ class Lake:
                         gone.append(version.path)
         return gone
 
+    def _trimmed(self, layer: str, keep: int, store: fs.FileSystem) -> set[str]:
+        """Folders named by the last ``keep`` publications; the files of others go."""
+        if (log := self._log(layer)) is None:
+            return set()
+        log = log.select("*", F.col("_metadata.file_path").alias("file"))
+        last = log.select("version", "publication").distinct().orderBy(F.desc("version"), F.desc("publication")).limit(keep)
+        kept = log.join(F.broadcast(last), ["version", "publication"])  # ``keep`` rows
+        named = {r["path"].rsplit("/", 1)[-1] for r in kept.select("path").distinct().collect()}
+        gone = log.select("file").distinct().join(kept.select("file").distinct(), "file", "left_anti")
+        for r in gone.toLocalIterator():
+            store.delete_file(fs.FileSystem.from_uri(r["file"])[1])
+        return named
+
     def create_database(self, layer: str) -> None:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}"
@@ -192,6 +210,10 @@ class Lake:
         return f"{self.database(layer)}.{table}"
 
 
+def _staged(row: Row) -> Staged:
+    return Staged(row["layer"], row["table"], row["path"], row["rows"], tuple(row["columns"]), row["where"])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Write to ``path``, which must not exist yet. Rows of one partition value are brought together first,
     in files of the advisory size: a hot value is split over several tasks, and

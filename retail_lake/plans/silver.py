@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from retail_lake.functions import columns as c
 from retail_lake.operators.conform import REASON, RECORD, Conformed, Rules, raw_column
 from retail_lake.operators.keyed import first_by_key
-from retail_lake.schemas import BATCH, CORRUPT, INGESTED, SOURCE_FILE
-
+from retail_lake.schemas import BATCH, CHUNK, CORRUPT, INGESTED, SOURCE_FILE
 
 
 def _same(*names: str) -> dict:
@@ -81,37 +80,40 @@ def _numbers_lines(raw: DataFrame) -> bool:
     return "line_no" in raw.schema["items"].dataType.elementType.names
 
 
-def _contents(events: DataFrame) -> Column:
-    """A digest of all that a document says, in whatever order it lists its lines and
-    whenever and in whichever file it came; NULL where its lines have no numbers."""
+def _document(events: DataFrame) -> Column:
+    """What tells the documents of one order and delivery apart: their chunk number; where
+    a source gives none but numbers its lines, a digest of all that a document says, in
+    whatever order it lists its lines and whenever and in whichever file it came. NULL
+    where there is neither: such a document is a whole order."""
+    number = F.col(CHUNK).cast("string") if CHUNK in events.columns else F.lit(None).cast("string")
     if not _numbers_lines(events):
-        return F.lit(None).cast("string")
-    said = [name for name in events.columns if name not in (BATCH, INGESTED, SOURCE_FILE, "items")]
+        return number
+    said = [name for name in events.columns if name not in (BATCH, INGESTED, SOURCE_FILE, CHUNK, "items")]
     whole = F.to_json(
         F.struct(*said, F.array_sort("items").alias("items")),
         {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
     )
-    return F.when(F.array_min("items.line_no").isNotNull(), F.sha2(whole, 256))
+    return F.coalesce(number, F.when(F.array_min("items.line_no").isNotNull(), F.concat(F.lit("#"), F.sha2(whole, 256))))
 
 
 def first_events(raw: DataFrame) -> DataFrame:
     """The documents of each order's first delivery; redelivered, unreadable and
     keyless ones are gone.
 
-    Repeated documents go first: those of an order with equal contents (or whose
-    lines have no numbers, so that each is a whole order). Documents that share only
-    some lines, as chunks of an order that lists a line twice may, all stay. A window
-    limited to one row per document spreads even a huge order by its documents. Then
-    the first arrival of every order, a narrow aggregate, picks the delivery; all its
-    documents stay, however either delivery was cut.
+    Of the documents that are one (see ``_document``) the first delivered stays, by a
+    window limited to one row per document, which spreads even a huge order by its
+    documents. That leaves of a redelivery what was cut otherwise than before. The
+    first arrival among what is left, a narrow aggregate, picks the delivery; all its
+    documents stay, equal ones of different numbers too. Both steps read the one
+    shuffle of the raw orders, which are scanned once.
     """
     readable = _readable(raw).where(F.col("order_id").isNotNull())
-    documents = first_by_key(readable.withColumn("_contents", _contents(readable)), ["order_id", "_contents"]).drop("_contents")
+    documents = first_by_key(readable.withColumn("_document", _document(readable)), ["order_id", "_document"]).drop("_document", CHUNK)
     arrival = _arrival(raw)
-    if not arrival or not _numbers_lines(raw):
+    if not arrival or not (CHUNK in raw.columns or _numbers_lines(raw)):
         return documents
     moment = F.struct(*[part for c in arrival for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
-    first = readable.groupBy(F.col("order_id").alias("_order")).agg(F.min(moment).alias("_first"))
+    first = documents.groupBy(F.col("order_id").alias("_order")).agg(F.min(moment).alias("_first"))
     return (
         documents.join(first, F.col("order_id") == F.col("_order"))
         .where(moment.eqNullSafe(F.col("_first")))

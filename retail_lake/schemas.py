@@ -14,6 +14,7 @@ RATE = "decimal(5,4)"
 CORRUPT = "_corrupt_record"
 BATCH = "batch_id"
 INGESTED = "_ingest_ts"
+CHUNK = "chunk"
 SOURCE_FILE = "_source_file"
 
 
@@ -34,4 +35,5 @@ ORDER_ITEM = _text("product_id", "quantity", "unit_price", "discount_pct", "line
 RAW_ORDERS = (
     _text("order_id", "customer_id", "order_ts", "channel", "payment_method", "status")
     .add("items", T.ArrayType(ORDER_ITEM))
+    .add(CHUNK, T.LongType())  # optional: the document's number within its delivery of the order
 )

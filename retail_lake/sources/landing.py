@@ -1,6 +1,5 @@
 """Readers of the landing files and the lineage columns they carry from there on."""
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,31 +17,46 @@ from retail_lake.schemas import (
 )
 
 
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their header, the names in their first line that is not
+    empty. One job reads the first lines of all files, however many there are, and a
+    small one parses each distinct one; a file without any line has no header."""
+    start = F.col("_metadata.file_block_start") == 0
+    lines = spark.read.text(path).where(start & (F.trim("value") != ""))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    by_line = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in by_line:  # a row per distinct header, with the paths that the reader is given
+        names = tuple(spark.read.csv(row["files"][0], header=True).columns)
+        found[names] = sorted([*found.get(names, []), *row["files"]])
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Delimited text with a header line; every column stays text.
 
     Columns are taken by name, each file by its own header, so their order may differ
     from file to file. A file that lacks a column of ``schema`` is an error; columns
     beyond it are kept as they are named. A row that does not have its header's number
-    of fields is kept whole in ``_corrupt_record``.
+    of fields is kept whole in ``_corrupt_record``. Files of one header are one read, and
+    files without a line hold no rows.
     """
-    files = spark.read.text(path).inputFiles()
-    with ThreadPoolExecutor(max_workers=8) as pool:  # a header is one line of one small job
-        headers = list(pool.map(lambda file: tuple(spark.read.csv(file, header=True).columns), files))
+    found = headers(spark, path)
     parts = []
-    for header in sorted(set(headers)):
-        same = [file for file, own in zip(files, headers, strict=True) if own == header]
+    for header in sorted(found):
+        same = found[header] if len(found) > 1 else [path]
         if missing := [name for name in schema.names if name not in header]:
-            raise ValueError(f"{same[0]} has no column {', '.join(missing)}")
+            raise ValueError(f"{found[header][0]} has no column {', '.join(missing)}")
         own = T.StructType([T.StructField(name, T.StringType()) for name in (*header, CORRUPT)])
         reader = spark.read.schema(own).option("columnNameOfCorruptRecord", CORRUPT)
-        if any("=" in file.removeprefix(path) for file in same):
+        if len(found) > 1 and any("=" in file.removeprefix(path) for file in same):
             reader = reader.option("basePath", path)
         rows = reader.csv(same, header=True, mode="PERMISSIVE")
         others = [name for name in rows.columns if name not in schema.names]
         parts.append(rows.select(*schema.names, *others, F.col("_metadata.file_name").alias(SOURCE_FILE)))
     if not parts:
-        raise ValueError(f"{path} holds no file")
+        raise ValueError(f"{path} holds no line")
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lake.functions.columns import date_key
-from retail_lake.schemas import BATCH, CORRUPT, MONEY, PRICE, RATE
+from retail_lake.schemas import BATCH, CHUNK, CORRUPT, MONEY, PRICE, RATE
 
 # An order document holds at most this many items; see ``order_events``.
 CHUNK_ITEMS = 10_000
@@ -96,15 +96,16 @@ def order_events(spark: SparkSession, sf_dir: str, chunk_items: int = CHUNK_ITEM
     source, so that it does not depend on the documents. Lines of an order are
     brought together and cut into documents of at most ``chunk_items``, by one rule
     for all orders: adaptive execution splits an order too large for one task, and
-    no document is larger than a chunk. How an order was cut changes no result, unless
-    two documents of an order repeat each other line by line and so pass for one.
+    no document is larger than a chunk. Each has the number of its chunk, so that two
+    documents of a delivery that repeat each other line by line are two: how an order
+    was cut changes no result.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     lines = (
         table(spark, sf_dir, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         .hint("rebalance", "l_orderkey")
-        .withColumn("chunk", F.floor(F.monotonically_increasing_id() / chunk_items))
+        .withColumn(CHUNK, F.floor(F.monotonically_increasing_id() / chunk_items))
     )
     no_quantity = (F.col("l_orderkey") % 50 == 11) & (F.col("l_linenumber") == 1)
     line_no = F.concat_ws(".", "l_linenumber", "l_partkey", "l_suppkey", date_key(F.col("l_shipdate")))
@@ -118,7 +119,7 @@ def order_events(spark: SparkSession, sf_dir: str, chunk_items: int = CHUNK_ITEM
         F.col("l_discount").cast(RATE).alias("discount_pct"),
         line_no.alias("line_no"),
     )
-    documents = lines.groupBy("l_orderkey", "chunk").agg(F.collect_list(item).alias("items"))
+    documents = lines.groupBy("l_orderkey", CHUNK).agg(F.collect_list(item).alias("items"))
 
     key = F.col("o_orderkey")
     channel, status = key % 4, F.col("o_orderstatus")
@@ -138,6 +139,7 @@ def order_events(spark: SparkSession, sf_dir: str, chunk_items: int = CHUNK_ITEM
         .otherwise("cancelled")
         .alias("status"),
         F.coalesce("items", F.array()).alias("items"),
+        CHUNK,
         F.lit(None).cast("string").alias(CORRUPT),
         BATCH,
     )

@@ -130,7 +130,7 @@ def test_another_session_finds_what_was_published(spark, full):
 def test_expired_versions_go_and_published_ones_stay(landing, lake):
     for _ in range(3):
         jobs.run(lake, landing, stages=["bronze"])
-    versions = lambda: {s.path for tables in lake.publications("bronze") for s in tables.values()}
+    versions = lambda: {r["path"] for r in lake._log("bronze").collect()}
     assert len(versions()) == 9
     assert lake.expire(keep=1) == []  # too young
     assert len(lake.expire(keep=1, older_than=0)) == 6
@@ -263,3 +263,61 @@ def test_replacing_one_partition_keeps_the_others(spark, tmp_path):
 
 def test_scratch_folders_lie_in_the_shared_folder(spark):
     assert scratch_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def _write_customers(folder, files):
+    names = RAW_CUSTOMERS.names
+    folder.mkdir()
+    for n in range(files):
+        own = names if n % 2 else names[::-1]
+        values = {name: f'"{name}, {n}"' for name in names}
+        (folder / f"{n:04}.csv").write_text("\n".join([",".join(f'"{x}"' for x in own), ",".join(values[x] for x in own)]) + "\n")
+
+
+def test_headers_take_as_many_jobs_for_many_files_as_for_few(spark, tmp_path):
+    counts = []
+    for files in (100, 500):  # Spark lists more than 32 files by a job
+        folder = tmp_path / f"customers{files}"
+        _write_customers(folder, files)
+        df, jobs = jobs_of(spark, f"headers-{files}", lambda folder=folder: read_csv(spark, str(folder), RAW_CUSTOMERS))
+        counts.append(jobs)
+        rows = df.collect()
+        assert len(rows) == files
+        assert all(r[name] == f"{name}, {int(r['_source_file'][:4])}" for r in rows for name in RAW_CUSTOMERS.names)
+    assert counts[0] == counts[1]
+
+
+def test_csv_files_without_lines_and_leading_blank_lines(spark, tmp_path):
+    folder = tmp_path / "customers.csv"
+    _write_customers(folder, 1)
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\n\n" + ",".join(RAW_CUSTOMERS.names) + "\n\n" + ",".join("x" * len(RAW_CUSTOMERS)) + "\n")
+    rows = read_csv(spark, str(folder), RAW_CUSTOMERS).collect()
+    assert sorted(r["customer_id"] for r in rows) == ["customer_id, 0", "x"]
+    (tmp_path / "none.csv").mkdir()
+    (tmp_path / "none.csv" / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="holds no line"):
+        read_csv(spark, str(tmp_path / "none.csv"), RAW_CUSTOMERS)
+
+
+def test_the_current_version_comes_without_the_history(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"), name="history")
+    for n in range(6):
+        lake.publish([lake.stage("gold", f"t{n % 2}", spark.range(n + 1), f"run{n}")])
+    assert {name: s.rows for name, s in lake.published("gold").items()} == {"t0": 5, "t1": 6}
+    assert len(lake._latest("gold")) == 2  # of 11 rows
+    assert len(lake.expire(keep=2, older_than=0)) == 3
+    log = lake._log("gold")
+    assert sorted({r["version"] for r in log.collect()}) == [5, 6]
+    lake.publish([lake.stage("gold", "t2", spark.range(9), "later")])
+    assert {name: lake.table("gold", name).count() for name in ("t0", "t1", "t2")} == {"t0": 5, "t1": 6, "t2": 9}
+    lake.unregister()
