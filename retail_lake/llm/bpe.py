@@ -9,7 +9,8 @@ UTF-8 is encoded with replacement characters. Decoding joins the bytes of the id
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,9 +24,32 @@ from retail_lake.llm.common import renamed, table
 from retail_lake.llm.segments import SegmentEncoder, gathered, slices
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: Characters of a run of white space from which it is kept from the pattern, whose
+#: engine backs up over white space and runs out of stack on a long run.
+LONG_RUN = 4096
+# The characters that the pattern takes for white space.
+_WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
+def encoding(library: tiktoken.Encoding) -> Callable[[str], list[int]]:
+    """Ids of a text, by the library but for long runs of white space. Such a run is one
+    match up to its last character, which goes with what follows, or up to the text's
+    end; no match reaches into it from before. The match is merged as one piece."""
+    long = re.compile(f"{_WHITE}{{{LONG_RUN},}}")
+
+    def encode(text: str) -> list[int]:
+        ids, done = [], 0
+        for run in long.finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            ids += library.encode_ordinary(text[done : run.start()])
+            ids += library._encode_single_piece(text[run.start() : stop])
+            done = stop
+        return ids + library.encode_ordinary(text[done:])
+
+    return encode
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> tuple[SegmentEncoder, np.ndarray, np.ndarray]:
     """The encoder, and where each id's bytes start in one buffer of all of them."""
@@ -36,7 +60,7 @@ def vocabulary(path: str, pattern: str) -> tuple[SegmentEncoder, np.ndarray, np.
     for token, rank in ranks.items():
         tokens[rank] = token
     widths = np.array([len(t) for t in tokens], np.int64)
-    encoder = SegmentEncoder(library.encode_ordinary, widths)
+    encoder = SegmentEncoder(encoding(library), widths)
     return encoder, np.cumsum(widths) - widths, np.frombuffer(b"".join(tokens), np.uint8)
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -143,3 +144,16 @@ def test_cuts_add_up_and_fill_their_class(tokens):
     for n in lengths:
         k = packing.CAPACITY // n
         assert n < packing.WHOLE or packing.CAPACITY - k * n <= packing.SLACK * packing.CAPACITY
+
+
+@pytest.mark.parametrize("run", [" ", "\n", " \n", "　", "\t  "])
+@pytest.mark.parametrize("around", [("x", "y"), ("", "'ll 1"), ("word ", ""), ("", "")])
+def test_long_runs_of_white_space(library, run, around):
+    encoder = bpe.vocabulary(RANKS, public_tokenizers.PATTERN)[0]
+    before, after = around
+    text = before + run * 6000 + after + run * 5000 + after  # the library can still take these
+    (_, _, _, ids), = encoder.column(pa.array([text]))
+    assert ids.tolist() == library.encode_ordinary(text)
+    longer = before + run * 2_000_000 + after  # but not these
+    (_, _, _, ids), = encoder.column(pa.array([longer]))
+    assert library.decode_bytes(ids.tolist()) == longer.encode()
