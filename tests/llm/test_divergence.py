@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from retail_lake.llm import common, divergence
 from retail_lake.llm.divergence import audit
+from retail_lake.llm.registry import ORACLES, QUERIES
+from tests.conftest import SMALL
 from tests.llm.conftest import ascii_lower, cluttered
+from tests.oracle import actual, connect, expected
 
 COLUMNS = ("lang", "source", "part", "item", "value", "rank")
 
@@ -114,3 +117,8 @@ def test_each_walk_keeps_all_that_equal_the_last(spark):
     terms = [r for r in found(frame(spark, rows)) if r[1:3] == ("a", "term")]
     assert [r[3] for r in sorted(terms, key=lambda r: r[5])] == [f"t{chr(97 + i)}" for i in range(10)]
     assert found(frame(spark, rows)) == brute(rows)
+
+
+def test_the_query_matches_its_sql(spark):
+    with connect(SMALL) as con:
+        assert actual(QUERIES["op11_source_divergence"](spark, SMALL)) == expected(con, ORACLES["op11_source_divergence"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from retail_lake.llm import personal
 from retail_lake.llm.personal import KINDS, base, decoded, digest, find, learn, reconciled, symbols, windows
 from retail_lake.llm.tagger import Tagger, best_tags, posteriors
+from tests.conftest import SMALL
 from tests.llm.conftest import ROWS, cluttered
 
 PATTERNS = dict(zip(KINDS, (personal.EMAIL, personal.IP, personal.CARD, personal.PHONE), strict=True))
@@ -213,3 +214,17 @@ def test_without_personal_data_there_is_no_model(spark):
     assert model.count() == 0
     assert [r["spans"] for r in find(docs, model).collect()] == [[], [], []]
     assert personal.train(docs.where(F.lit(False)), steps=5).count() == 0
+
+
+def test_the_registered_query_on_every_document(spark, small_docs):
+    texts = {r["doc_id"]: r["text"] for r in small_docs.collect()}
+    rows = personal.op12_personal_data(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = plain(texts[r["doc_id"]])
+        assert [r[f"n_{kind}"] for kind in KINDS] == [sum(k == kind for *_, k in spans) for kind in KINDS]
+        assert r["base_sha256"] == hashlib.sha256(told(spans).encode()).hexdigest()
+        assert set(told(spans).split(",")) <= set(r["spans"].split(","))
+        for kind, start, end in (x.split(":") for x in r["spans"].split(",") if x):
+            own = (int(start), int(end), kind)
+            assert own in spans or personal.spelled_out(kind, texts[r["doc_id"]][own[0] : own[1]])

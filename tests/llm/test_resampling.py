@@ -8,7 +8,10 @@ import pytest
 
 from retail_lake.llm import common, resampling
 from retail_lake.llm.resampling import features, joined_crc, payloads, resampled
+from retail_lake.llm.registry import ORACLES, QUERIES
+from tests.conftest import SMALL
 from tests.llm.conftest import ROWS, ascii_lower, cluttered
+from tests.oracle import actual, connect, expected
 
 COLUMNS = ("doc_id", "n_features", "n_words", "weight", "score", "rank")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -108,3 +111,8 @@ def test_drawn_ranks_are_gapless(spark, small_docs):
     ranks = sorted(r["rank"] for r in rows if r["rank"])
     eligible = sum(r["n_words"] >= 20 for r in rows)
     assert ranks == list(range(1, 40 * eligible // 100 + 1))
+
+
+def test_the_query_matches_its_sql(spark):
+    with connect(SMALL) as con:
+        assert actual(QUERIES["op13_target_resampling"](spark, SMALL)) == expected(con, ORACLES["op13_target_resampling"])
