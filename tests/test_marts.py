@@ -67,7 +67,9 @@ def test_documents_stay_small(spark):
 
 
 def test_lines_are_scanned_once(spark):
-    plan = QUERIES["order_lines"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    lines = QUERIES["order_lines"](spark, SMALL)
+    lines.collect()  # a shuffle read twice is known as one when it runs
+    plan = lines._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan)) == 1
 
 
