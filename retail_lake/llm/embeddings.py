@@ -11,9 +11,9 @@ below what the target recall leaves open. Pairs met are verified in double
 precision. As either of two vectors may find the other, few links are missed: see
 the README for measured recall.
 
-Vectors of different lengths never link; each length has an index of its own, and
-lengths of few vectors are compared whole. The codebooks are fitted on a bounded
-sample (``SAMPLE`` vectors); all vectors are indexed. Equal vectors are one class from the start. Large cells and the queries
+Vectors of different lengths never link; each length has a grid of its own, and all
+are searched in one pass. The codebooks are fitted on a bounded sample (about
+``SAMPLE`` vectors of a length); all vectors are indexed. Equal vectors are one class from the start. Large cells and the queries
 they receive are dealt over blocks, so that a dense cell is the work of many tasks;
 a block sends sums of links and a spanning set of edges, never all its pairs.
 """
@@ -21,7 +21,7 @@ a block sends sums of links and a spanning set of edges, never all its pairs.
 import heapq
 import math
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
@@ -118,21 +118,67 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, most: float) -> list[t
     return found
 
 
-def _visits(batches: Iterator[pa.RecordBatch], held, kind: type, most: float) -> Iterator[pa.RecordBatch]:
-    """Each vector's own cell, and all cells it visits, that one included."""
-    book1, book2 = held.value
-    half, words = book1.shape[1], len(book2)
+@dataclass(frozen=True)
+class Grid:
+    """The cells of one length: both codebooks, the number of the first cell, and the
+    greatest squared distance at which a cell is visited."""
+
+    first: np.ndarray
+    second: np.ndarray
+    base: int
+    most: float
+
+
+def grids(classes: DataFrame, kind: type, least: float, target: float) -> dict[int, Grid]:
+    """The grid of every length of which more than ``CELL`` classes ``(id, vector, size)``
+    occur; the vectors of any other length share one cell, which needs no words.
+
+    Codebooks are fitted side by side, each on its length's sample in one task. They
+    hold less than a ``CELL``-th of the vectors, and ``MOST_WORDS`` words at most.
+    """
+    lengths = classes.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL)
+    lengths = lengths.withColumn("words", F.least(F.lit(MOST_WORDS), F.ceil(F.sqrt(F.col("n") / CELL))))
+    sample = classes.join(lengths, "size").where(F.pmod(F.xxhash64("id"), F.col("n")) < SAMPLE)
+
+    def fit(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        x, words = _units(group.column("vector"), kind), group.column("words")[0].as_py()
+        half = x.shape[1] // 2
+        books = [codebook(part, words) for part in (x[:, :half], x[:, half:])]
+        return pa.table({"size": group.column("size").slice(0, 1)} | {n: pa.array([book.tobytes()], pa.binary()) for n, book in zip(("first", "second"), books, strict=True)})
+
+    fitted = sample.select("size", "words", "id", "vector").groupBy("size").applyInArrow(fit, "size int, first binary, second binary")
+    out, base = {}, 0
+    for r in sorted(fitted.collect(), key=lambda r: r["size"]):
+        dimensions = r["size"] // np.dtype(kind).itemsize
+        half = dimensions // 2
+        second = np.frombuffer(r["second"]).reshape(-1, dimensions - half)
+        first = np.frombuffer(r["first"]).reshape(-1, half) if half else np.zeros((1, 0))
+        deviation = math.sqrt(max(0.0, 2 - 2 * least) / dimensions)
+        out[r["size"]] = Grid(first, second, base, (NormalDist().inv_cdf(target) * deviation) ** 2)
+        base += len(first) * len(second)
+    return out
+
+
+def _visits(batches: Iterator[pa.RecordBatch], held, kind: type) -> Iterator[pa.RecordBatch]:
+    """Each vector's own cell, and all cells it visits, that one included. The one cell
+    of a length without a grid has the negative length as its number."""
     for batch in batches:
-        x = _units(batch.column("vector"), kind)
-        homes, cells = [], []
-        for start in range(0, len(x), 2048):
-            part = x[start : start + 2048]
-            own1, s1 = beyond(part[:, :half], book1)
-            own2, s2 = beyond(part[:, half:], book2)
-            homes.append(own1 * words + own2)
-            cells += [[i * words + j for i, j in multi_sequence(a, b, most)] for a, b in zip(s1, s2, strict=True)]
+        sizes = batch.column("size").to_numpy().astype(np.int64)
+        homes = -sizes
+        cells = [[home] for home in homes.tolist()]
+        for size, grid in held.value.items():
+            half, words = grid.first.shape[1], len(grid.second)
+            rows = np.flatnonzero(sizes == size)
+            for at in (rows[n : n + 2048] for n in range(0, len(rows), 2048)):
+                part = _units(batch.column("vector").take(pa.array(at)), kind)
+                own1, s1 = beyond(part[:, :half], grid.first)
+                own2, s2 = beyond(part[:, half:], grid.second)
+                homes[at] = grid.base + own1 * words + own2
+                for n, a, b in zip(at.tolist(), s1, s2, strict=True):
+                    cells[n] = [grid.base + i * words + j for i, j in multi_sequence(a, b, grid.most)]
         columns = {n: batch.column(n) for n in ("id", "weight", "vector")}
-        yield pa.RecordBatch.from_pydict(columns | {"home": pa.array(np.concatenate([*homes, np.zeros(0, np.int64)]).astype(np.int64)), "cells": pa.array(cells, pa.list_(pa.int64()))})
+        yield pa.RecordBatch.from_pydict(columns | {"home": pa.array(homes), "cells": pa.array(cells, pa.list_(pa.int64()))})
 
 
 def spanning(a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
@@ -182,19 +228,10 @@ def _compare(queries: pa.Table, members: pa.Table, kind: type, least: float) ->
 
 
 def links(classes: DataFrame, kind: type, least: float, target: float) -> DataFrame:
-    """Sums of links ``(a, n)`` and edges ``(a, b)`` between classes ``(id, weight, vector)``."""
-    spark = classes.sparkSession
-    n = classes.count()
-    sample = classes.where(F.pmod(F.xxhash64("id"), F.lit(max(n, 1))) < SAMPLE).limit(2 * SAMPLE)
-    x = _units(sample.select("vector").toArrow().column("vector"), kind)
-    if not len(x):
-        return spark.createDataFrame([], _FOUND)
-    half, words = x.shape[1] // 2, min(MOST_WORDS, max(1, math.ceil(math.sqrt(n / CELL))))
-    held = spark.sparkContext.broadcast((codebook(x[:, :half], words), codebook(x[:, half:], words)))
-    deviation = math.sqrt(max(0.0, 2 - 2 * least) / x.shape[1])
-    most = (NormalDist().inv_cdf(target) * deviation) ** 2
-
-    placed = stored(classes.mapInArrow(lambda b: _visits(b, held, kind, most), _VISITS), "cells")
+    """Sums of links ``(a, n)`` and edges ``(a, b)`` between classes ``(id, weight, vector,
+    size)``, those of all lengths in one pass."""
+    held = classes.sparkSession.sparkContext.broadcast(grids(classes, kind, least, target))
+    placed = stored(classes.mapInArrow(lambda b: _visits(b, held, kind), _VISITS), "cells")
     asked = placed.select("id", "weight", "vector", "home", F.explode("cells").alias("cell"))
     sizes = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("member_blocks"))
     loads = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("query_blocks"))
@@ -211,32 +248,6 @@ def links(classes: DataFrame, kind: type, least: float, target: float) -> DataFr
     return stored(left.groupBy(*keys).cogroup(right.groupBy(*theirs)).applyInArrow(compare, _FOUND), "vector-links")
 
 
-def few_links(classes: DataFrame, kind: type, least: float) -> DataFrame:
-    """The same for classes ``(id, weight, vector, size)`` of lengths that have at most
-    ``BLOCK`` each: all pairs of a length in one task."""
-
-    def compare(group: pa.Table) -> pa.Table:
-        home = pa.array(np.zeros(len(group), np.int64))
-        queries = group.append_column("home", home)
-        cells = pa.chunked_array([pa.array([[0]] * len(group), pa.list_(pa.int64()))])
-        members = pa.table({f"m_{n}": group.column(n) for n in ("id", "weight", "vector")} | {"m_cell": home, "m_cells": cells})
-        return _compare(queries, members, kind, least)
-
-    return classes.groupBy("size").applyInArrow(compare, _FOUND)
-
-
-def links_by_length(classes: DataFrame, kind: type, least: float, target: float) -> DataFrame:
-    """The links of all classes ``(id, weight, vector, size)``, length by length. Only
-    lengths of more than ``BLOCK`` classes reach the driver."""
-    counted = classes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
-    many = [r["size"] for r in counted.where(F.col("n") > BLOCK).orderBy("size").collect()]
-    alike = lambda size: classes.where(F.col("size") == size).select("id", "weight", "vector")
-    found = [links(alike(size), kind, least, target) for size in many]
-    few = classes.where(~F.col("size").isin(many)) if many else classes
-    found.append(stored(few_links(few, kind, least), "few-links"))
-    return reduce(DataFrame.unionByName, found)
-
-
 def near_duplicates(df: DataFrame, least: float = LEAST_COSINE, target: float = TARGET_RECALL) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``(vec_id, embedding)``.
 
@@ -253,23 +264,17 @@ def near_duplicates(df: DataFrame, least: float = LEAST_COSINE, target: float =
         rows.where("vector is not null").groupBy("d1", "d2", "size").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector")),
         "vector-classes",
     )
-    found = links_by_length(classes.where("id is not null").select("id", "weight", "vector", "size"), kind, least, target)
+    found = links(classes.where("id is not null").select("id", "weight", "vector", "size"), kind, least, target)
     sums = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     reached = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "id")
     named = (
         classes.drop("vector").join(sums, "id", "left").join(reached, "id", "left")
         .select("d1", "d2", "size", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     )
-    usable = rows.select("vec_id", "d1", "d2", "size", F.col("vector").isNotNull().alias("usable"))
-    return (
-        usable.join(named, ["d1", "d2", "size"], "left")
-        .select(
-            "vec_id",
-            F.when(F.col("usable"), F.col("n_links")).otherwise(F.lit(0)).cast("bigint").alias("n_links"),
-            F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"),
-        )
-        .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
-    )
+    usable = rows.where("vector is not null").select("vec_id", "d1", "d2", "size")
+    linked = usable.join(named, ["d1", "d2", "size"], "left").select("vec_id", "n_links", "component_id")
+    alone = rows.where("vector is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op3_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

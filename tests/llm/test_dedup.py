@@ -211,9 +211,11 @@ def test_vector_recall_in_dense_and_loose_groups(spark, kind, monkeypatch):
     assert all(found[k] == want[k] for k, v in rows if want[k][0] == 0 or k < 150)
 
 
-@pytest.mark.parametrize("block", [2, 10, 1024])
-def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, block):
-    """Lengths of many vectors and of few, one of a single component."""
+@pytest.mark.parametrize("cell, block", [(1, 2), (8, 10), (64, 1024)])
+def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, cell, block):
+    """Lengths of many vectors and of few, one of a single component, with many cells a
+    length and with one."""
+    monkeypatch.setattr(embeddings, "CELL", cell)
     monkeypatch.setattr(embeddings, "BLOCK", block)
     rng = np.random.default_rng(6)
     rows = []
@@ -230,6 +232,15 @@ def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, block)
     assert vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")) == want
 
 
+def test_small_tables_go_through_the_grid(spark, monkeypatch):
+    """The query's own table is searched cell by cell: it has several, and vectors in most."""
+    made, whole = [], embeddings.grids
+    monkeypatch.setattr(embeddings, "grids", lambda *a: made.append(whole(*a)) or made[-1])
+    embeddings.op3_embedding_near_duplicates(spark, SMALL).count()
+    (grid,) = made[0].values()
+    assert len(grid.first) > 1 and len(grid.second) > 1
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embeddings.near_duplicates(empty).count() == 0
