@@ -35,10 +35,14 @@ from retail_lake.llm.shingles import mixed
 
 LEAST_COSINE = 0.95
 TARGET_RECALL = 0.999
-#: Vectors the codebooks are fitted on; words of a codebook at most.
-SAMPLE, MOST_WORDS = 20_000, 1024
-#: Vectors a cell has on average, and vectors or queries of a block.
-CELL, BLOCK = 64, 1024
+#: Vectors the codebooks of a length are fitted on, and words of a codebook.
+SAMPLE, LEAST_WORDS, MOST_WORDS = 20_000, 4, 1024
+#: Vectors a cell has on average where these words allow it: a vector travels once for
+#: each cell that it visits, so larger cells save more of the shuffle than they cost in
+#: products. Vectors or queries of a block.
+CELL, BLOCK = 1024, 1024
+#: Up to so many vectors of a length share one cell.
+FEW = 64
 ROUNDS = 12
 
 _ROW = "vec_id bigint, d1 bigint, d2 bigint, vector binary"
@@ -130,14 +134,16 @@ class Grid:
 
 
 def grids(classes: DataFrame, kind: type, least: float, target: float) -> dict[int, Grid]:
-    """The grid of every length of which more than ``CELL`` classes ``(id, vector, size)``
+    """The grid of every length of which more than ``FEW`` classes ``(id, vector, size)``
     occur; the vectors of any other length share one cell, which needs no words.
 
-    Codebooks are fitted side by side, each on its length's sample in one task. They
-    hold less than a ``CELL``-th of the vectors, and ``MOST_WORDS`` words at most.
+    Codebooks are fitted side by side, each on its length's sample in one task. A
+    length's have ``LEAST_WORDS`` to ``MOST_WORDS`` words, so they stay far smaller than
+    its vectors.
     """
-    lengths = classes.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL)
-    lengths = lengths.withColumn("words", F.least(F.lit(MOST_WORDS), F.ceil(F.sqrt(F.col("n") / CELL))))
+    lengths = classes.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW)
+    words = F.greatest(F.lit(LEAST_WORDS), F.least(F.lit(MOST_WORDS), F.ceil(F.sqrt(F.col("n") / CELL))))
+    lengths = lengths.withColumn("words", words)
     sample = classes.join(lengths, "size").where(F.pmod(F.xxhash64("id"), F.col("n")) < SAMPLE)
 
     def fit(group: pa.Table) -> pa.Table:

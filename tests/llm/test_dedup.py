@@ -211,12 +211,12 @@ def test_vector_recall_in_dense_and_loose_groups(spark, kind, monkeypatch):
     assert all(found[k] == want[k] for k, v in rows if want[k][0] == 0 or k < 150)
 
 
-@pytest.mark.parametrize("cell, block", [(1, 2), (8, 10), (64, 1024)])
-def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, cell, block):
+@pytest.mark.parametrize("few, cell, block", [(1, 1, 2), (30, 8, 10), (64, 1024, 1024)])
+def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, few, cell, block):
     """Lengths of many vectors and of few, one of a single component, with many cells a
     length and with one."""
-    monkeypatch.setattr(embeddings, "CELL", cell)
-    monkeypatch.setattr(embeddings, "BLOCK", block)
+    for name, value in (("FEW", few), ("CELL", cell), ("BLOCK", block)):
+        monkeypatch.setattr(embeddings, name, value)
     rng = np.random.default_rng(6)
     rows = []
     for size, n in ((8, 40), (16, 60), (24, 4)):
