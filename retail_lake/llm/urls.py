@@ -37,15 +37,9 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Hosts blocked, with their subdomains, where no rule fits.
-BLOCKED_HOSTS = (
-    "adult-x.example.com",
-    "ads-track.example.com",
-    "casino-win.example.net",
-    "cheap-pills.example.net",
-    "free-bets.example.net",
-    "spam-farm.example.org",
-)
+#: Hosts blocked, with their subdomains, where no rule fits: each name under every domain.
+BLOCKED_NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+BLOCKED_HOSTS = tuple(f"{name}.example.{domain}" for name in BLOCKED_NAMES for domain in ("com", "net", "org"))
 
 
 @dataclass(frozen=True)
@@ -183,11 +177,12 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def candidates(host: str, path: str, lengths: Sequence[int]) -> list[str]:
-    """Every key that could list a URL: the host and its parent domains, each with
-    the path's start of each of the lengths; the longest first, then the longest host."""
-    labels = host.split(".")
-    domains = [".".join(labels[n:]) for n in range(len(labels))]
+def candidates(host: str, path: str, lengths: Sequence[int], labels: int) -> list[str]:
+    """Every key that could list a URL: the host's last labels, up to as many as a listed
+    host has, each with the path's start of each of the lengths; the longest first, then
+    the longest host. Deeper hosts give no more keys than others."""
+    last = host.rsplit(".", labels)[-labels:]
+    domains = [".".join(last[n:]) for n in range(len(last))]
     keys = {(len(d) + n, len(d), d + path[:n]) for d in domains for n in lengths if n <= len(path)}
     return [key for *_, key in sorted(keys, reverse=True)]
 
@@ -199,12 +194,13 @@ def judged(df: DataFrame, url: str, rules: Sequence[tuple[str, str]], blocked_ho
     malformed URLs too."""
     spark = df.sparkSession
     lengths = sorted({len(r) - r.find("/") if "/" in r else 0 for _, r in rules} | {0})
+    labels = max((key.split("/")[0].count(".") + 1 for key in [r for _, r in rules] + list(blocked_hosts)), default=1)
     parts = df.withColumns({"host": host(df[url]), "path": path(df[url])}).drop("rule", "verdict")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = set(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True))
-            yield _hashed({key for h, p in urls for key in candidates(h, p, lengths)})
+            yield _hashed({key for h, p in urls for key in candidates(h, p, lengths, labels)})
 
     universe = stored(parts.select("host", "path").mapInArrow(keys, _HASHED).distinct(), "url-keys")
     listing = lambda keys: hashed_keys(spark.createDataFrame([(k,) for k in keys], "key string"))
@@ -215,7 +211,7 @@ def judged(df: DataFrame, url: str, rules: Sequence[tuple[str, str]], blocked_ho
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule_of, blocked = held.value
         for batch in batches:
-            found = [candidates(h, p, lengths) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+            found = [candidates(h, p, lengths, labels) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
             flat = [key for keys in found for key in keys]
             row = np.repeat(np.arange(len(found)), [len(keys) for keys in found])
             h1, h2 = hashes(flat)
