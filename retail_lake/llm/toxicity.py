@@ -8,7 +8,11 @@ made a document toxic. A sentence without any learnt feature scores exactly 0, s
 length alone never makes a document toxic.
 
 Training uses a bounded sample: at most ``POSITIVE`` toxic and ``NEGATIVE`` other
-documents, those of least hashed id among the rows labels may be learnt from.
+documents, those of least hashed id among the rows labels may be learnt from, and no
+more distinct texts than both together where ids repeat.
+
+A long text is scored section by section, in bounded memory: sections end between
+words, and a sentence that goes on in the next one is scored with the features of both.
 """
 
 from collections.abc import Iterator
@@ -20,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retail_lake.llm.common import distinct, pieces, renamed, stored, table
+from retail_lake.llm.common import CHUNK_BYTES, distinct, pieces, renamed, sections, stored, table
 from retail_lake.llm.shingles import mixed
 
 POSITIVE, NEGATIVE = 2000, 8000
@@ -104,12 +108,63 @@ class Model:
         both = distinct(found.sentence[word[hit]] * size + at[hit])
         return both // size, both % size
 
-    def scores(self, found: Bags) -> tuple[np.ndarray, np.ndarray]:
-        """Sentences with known features, and the log of one minus their score."""
-        sentence, feature = self.known(found)
-        which, place = np.unique(sentence, return_inverse=True)
-        z = BIAS + np.bincount(place, self.weights[feature], len(which))
-        return which, np.logaddexp(0, BIAS) - np.logaddexp(0, z)
+    def log_clear(self, sentence: np.ndarray, feature: np.ndarray, sentences: int) -> np.ndarray:
+        """For each sentence the log of one minus its score."""
+        z = BIAS + np.bincount(sentence, self.weights[feature], sentences)
+        return np.logaddexp(0, BIAS) - np.logaddexp(0, z)
+
+
+@dataclass
+class Judged:
+    """Scores and offending sentences of the rows ``first`` to ``last``."""
+
+    first: int
+    last: int
+    score: np.ndarray
+    offending: pa.ListArray
+
+
+def judged(column: pa.Array, model: Model, most: int = CHUNK_BYTES) -> Iterator[Judged]:
+    """All texts of a column in turn, those of more than ``most`` bytes in sections. Only
+    sentences with known features are remembered from section to section."""
+    for first, last, offsets, data, begins, ends in sections(column, _LETTER, most):
+        if begins:
+            known, base, size, open_ = [], 0, 0, None
+        found = bags(offsets, data)
+        sentence, feature = model.known(found)
+        start, upto = found.start + size, np.append(found.start[1:], len(data)) + size
+        # A sentence ends with its text at the latest.
+        upto = np.minimum(upto, offsets[found.text + 1] + size)
+        if open_ is not None and len(start):  # the first sentence here goes on from before
+            start[0] = open_
+            base -= 1
+            for part in known:  # and ends here, as far as known
+                part[3][part[0] == base] = upto[0]
+        known.append([sentence + base, feature, start[sentence], upto[sentence], found.text[sentence]])
+        base += len(start)
+        size += len(data)
+        if len(data):
+            open_ = None if _END[data[-1]] else int(start[-1])
+        if ends:
+            yield _judged(first, last, offsets if begins else np.array([0, size]), known, model)
+
+
+def _judged(first: int, last: int, offsets: np.ndarray, known: list[list[np.ndarray]], model: Model) -> Judged:
+    sentence, feature, start, upto, text = (np.concatenate(x) for x in zip(*known, strict=True))
+    n = max(len(model.keys), 1)
+    pairs, at = np.unique(sentence * n + feature, return_index=True)
+    which, place, counts = np.unique(pairs // n, return_inverse=True, return_counts=True)
+    row = at[np.cumsum(counts) - counts] if len(at) else at
+    log_q = model.log_clear(place, pairs % n, len(which))
+    score = np.clip(-np.expm1(np.bincount(text[row], log_q, last - first)), 0.0, 1.0) + 0.0
+    own = -np.expm1(log_q)
+    bad = own >= THRESHOLD
+    of = text[row][bad]
+    spans = pa.StructArray.from_arrays(
+        [pa.array(start[row][bad] - offsets[of]), pa.array(upto[row][bad] - offsets[of]), pa.array(own[bad])], names=["start", "end", "score"]
+    )
+    ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=last - first))]).astype(np.int32)
+    return Judged(first, last, score, pa.ListArray.from_arrays(pa.array(ends), spans))
 
 
 def _candidates(toxic: list[Bags], other: list[Bags]) -> np.ndarray:
@@ -186,20 +241,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def sample(docs: DataFrame, labels: DataFrame, positive: int, negative: int) -> DataFrame:
+    """``(text, toxic)`` to learn from, in the order of the texts' digests."""
+    usable = renamed(labels, doc_id="doc_id", toxic="toxic").where(may_learn(F.col("doc_id")) & F.col("doc_id").isNotNull())
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    labelled = usable.where("toxic = 1").orderBy(*order).limit(positive)
+    labelled = labelled.unionByName(usable.where("toxic = 0").orderBy(*order).limit(negative))
+    texts = renamed(docs, doc_id="doc_id", text="text")
+    marked = texts.join(F.broadcast(labelled), "doc_id")  # at most positive + negative labels
+    once = marked.groupBy(F.sha2("text", 256).alias("same")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    return once.orderBy("same").limit(positive + negative).select("text", F.col("toxic").cast("int").alias("toxic"))
+
+
 def train(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE) -> DataFrame:
     """The model as rows ``(key, weight)``, a few thousand at most. Labels other than
     0 and 1, rows held out and labels without a document are not learnt from; equal
     texts of the sample count once. Without toxic examples the model is empty."""
-    usable = renamed(labels, doc_id="doc_id", toxic="toxic").where(may_learn(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    sample = usable.where("toxic = 1").orderBy(*order).limit(positive)
-    sample = sample.unionByName(usable.where("toxic = 0").orderBy(*order).limit(negative))
-    texts = renamed(docs, doc_id="doc_id", text="text")
-    marked = texts.join(F.broadcast(sample), "doc_id")  # at most positive + negative rows
-    # Bounded by the sample, hence one task.
-    bounded = marked.groupBy(F.sha2("text", 256).alias("same")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-    ordered = bounded.repartition(1).sortWithinPartitions("same").select("text", F.col("toxic").cast("int").alias("toxic"))
-    return stored(ordered.mapInArrow(_train, "key bigint, weight double"), "toxicity-model")
+    bounded = sample(docs, labels, positive, negative).coalesce(1)  # bounded by the sample, hence one task
+    return stored(bounded.mapInArrow(_train, "key bigint, weight double"), "toxicity-model")
 
 
 def scored(df: DataFrame, model: DataFrame, keep: list[str], spans: bool = False) -> DataFrame:
@@ -216,14 +275,11 @@ def scored(df: DataFrame, model: DataFrame, keep: list[str], spans: bool = False
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*held.value)
         for batch in batches:
-            for first, last, offsets, data in pieces(batch.column("text")):
-                found = bags(offsets, data)
-                which, log_q = model.scores(found)
-                score = -np.expm1(np.bincount(found.text[which], log_q, last - first))
-                columns = {n: batch.column(n).slice(first, last - first) for n in keep}
-                columns["score"] = pa.array(np.clip(score, 0.0, 1.0) + 0.0)
+            for part in judged(batch.column("text"), model):
+                columns = {n: batch.column(n).slice(part.first, part.last - part.first) for n in keep}
+                columns["score"] = pa.array(part.score)
                 if spans:
-                    columns["offending"] = _offending(found, which, log_q, offsets)
+                    columns["offending"] = part.offending
                 yield pa.RecordBatch.from_pydict(columns)
 
     extra = [T.StructField("score", T.DoubleType())]
@@ -233,18 +289,6 @@ def scored(df: DataFrame, model: DataFrame, keep: list[str], spans: bool = False
     return df.mapInArrow(run, T.StructType(fields + extra))
 
 
-def _offending(found: Bags, which: np.ndarray, log_q: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    bad = which[-np.expm1(log_q) >= THRESHOLD]
-    own = -np.expm1(log_q[-np.expm1(log_q) >= THRESHOLD])
-    text = found.text[bad]
-    ends = np.minimum(np.append(found.start, offsets[-1])[bad + 1], offsets[text + 1])
-    spans = pa.StructArray.from_arrays(
-        [pa.array(found.start[bad] - offsets[text]), pa.array(ends - offsets[text]), pa.array(own)], names=["start", "end", "score"]
-    )
-    counts = np.bincount(text, minlength=len(offsets) - 1)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), spans)
-
-
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` below the threshold, with its own columns."""
     model = train(docs, labels)

@@ -3,7 +3,10 @@
 import math
 import random
 import re
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +34,10 @@ URLS = [
     (15, "line\nbreak://h\n.com/é\n/x"),
     (15, "line\nbreak://h\n.com/é\n/x"),
     (None, "http://www.example.com/en/" + "long/" * 5000),
+    (16, "http://" + "a." * 500_000 + "net/es/x"),
+    (17, "http://" + "a." * 500_000 + "spam-farm.example.net"),
+    (18, "http://casino-win.example.org." + "b" * 1_000_000),
+    (19, "http://..net/es/"),
 ]
 
 
@@ -66,6 +73,11 @@ def test_url_edge_cases(spark):
     assert urls.judged(none, "url", urls.RULES, urls.BLOCKED_HOSTS).count() == 0
 
 
+def test_deep_hosts_give_no_more_keys_than_a_listed_one_has_labels():
+    deep = urls.candidates("a." * 500_000 + "net", "/es/x", [0, 4], 3)
+    assert deep == ["a.a.net/es/", "a.net/es/", "a.a.net", "net/es/", "a.net", "net"]
+
+
 @pytest.mark.parametrize("listed_share", [0.0, 0.02, 0.5, 1.0])
 def test_the_cascade_is_exact_over_its_universe(spark, listed_share):
     keys = [f"host{i}.example/path/{i * 7919}" for i in range(20_000)]
@@ -210,6 +222,83 @@ def test_held_out_labels_are_never_learnt(spark):
     assert scores[0] == scores[1]
 
 
+def brute_toxicity(text, weights):
+    """Score and offending sentences, sentence by sentence, from the learnt weights."""
+    data, clear, offending, start = text.encode(), 1.0, [], 0
+    rest = 1 - 1 / (1 + math.exp(-toxicity.BIAS))
+    for sentence in re.findall(rb"[^.!?\n]*[.!?\n]|[^.!?\n]+", data):
+        words = set(re.findall(rb"[0-9a-z\x80-\xff]+", sentence.lower()))
+        known = {k: w for k, w in weights.items() if any(k == word or (k[:1] == b"^" and len(k) > 1 and word.startswith(k[1:])) for word in words)}
+        if known:
+            own = 1 - (1 - 1 / (1 + math.exp(-toxicity.BIAS - sum(known.values())))) / rest
+            clear *= 1 - own
+            if own >= toxicity.THRESHOLD:
+                offending.append((start, start + len(sentence), own))
+        start += len(sentence)
+    return 1 - clear, offending
+
+
+def named_weights(model, texts):
+    """The learnt weights by the words, or ``^`` and the beginnings of words, they stand for."""
+    words = {w for t in texts for w in re.findall(rb"[0-9a-z\x80-\xff]+", ascii_lower(t or "").encode())}
+    names = {w: 0 for w in words} | {b"^" + w[:n]: k for w in words for k, n in enumerate(toxicity.PREFIXES, 1) if len(w) >= n}
+    listed = sorted(names)
+    key = {}
+    for name in listed:
+        word, kind = (name, 0) if names[name] == 0 else (name[1:], names[name])
+        data = np.frombuffer(word, np.uint8)
+        key[int(toxicity.bags(np.array([0, len(data)]), data).keys[0, kind])] = name
+    rows = model.collect()
+    assert rows and all(r.key % (1 << 64) in key for r in rows)  # a weight without a word would be unknown
+    return {key[r.key % (1 << 64)]: r.weight for r in rows}
+
+
+def close(got, want):
+    return len(got) == len(want) and all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9 for a, b in zip(got, want, strict=True))
+
+
+def test_the_toxicity_query_against_brute_force(spark, small_docs):
+    """Scores, verdicts and spans of every row of the table, recomputed word by word."""
+    texts = {r.doc_id: r.text for r in small_docs.collect()}
+    model = toxicity.train(small_docs.select("doc_id", "text"), spark.read.parquet(f"{SMALL}/labels.parquet"))
+    weights = named_weights(model, texts.values())
+    rows = toxicity.op5_toxicity(spark, SMALL).collect()
+    assert {r.doc_id for r in rows} == set(texts) and len(rows) == len(texts)
+    for r in rows:
+        score, offending = brute_toxicity(texts[r.doc_id] or "", weights)
+        assert abs(r.score - score) < 1e-9 and r.predicted == int(r.score >= toxicity.THRESHOLD)
+        assert close(r.offending, offending) and r.n_offending == len(offending)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    assert any(r.offending for r in rows)
+
+
+def test_long_texts_score_as_their_sentences_do_wherever_they_are_cut(spark, monkeypatch):
+    docs, labels = labelled(spark, 300)
+    model = toxicity.train(docs, labels)
+    bad = "you gronk and snarf, you " + "filler " * 50
+    texts = [bad * n + ". alpha beta.\n\n" + bad + "!" + "\n" * 90 + "tail " * 30 for n in (1, 3)] + ["x" * 500, "." * 500, "alpha", bad + "é" * 300]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+    whole = {r.doc_id: r for r in toxicity.scored(df, model, ["doc_id"], spans=True).collect()}
+    keys = np.array([r.key for r in model.orderBy("key").collect()], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    weights = np.array([r.weight for r in model.orderBy("key").collect()])[order]
+    for most in (16, 64, 100, 333):
+        column, got = pa.array(texts), {}
+        for part in toxicity.judged(column, toxicity.Model(keys[order], weights), most):
+            for n in range(part.first, part.last):
+                spans = part.offending.slice(n - part.first, 1)[0].as_py()
+                got[n] = (part.score[n - part.first], [tuple(s.values()) for s in spans])
+        for n in range(len(texts)):
+            assert abs(got[n][0] - whole[n].score) < 1e-9
+            assert close(got[n][1], whole[n].offending), (most, n)
+
+
+def test_the_sample_is_bounded_whatever_ids_repeat(spark):
+    docs, labels = labelled(spark, 60)
+    often = docs.unionByName(docs.where("doc_id = 0 or doc_id = 2").crossJoin(spark.range(500)).select("doc_id", F.concat("text", F.col("id").cast("string")).alias("text")))
+    assert toxicity.sample(often, labels, 5, 10).count() == 15
+
+
 def test_toxicity_edge_cases(spark, docs, no_docs):
     _, labels = labelled(spark, 30)
     nothing = labels.where("false")
@@ -245,7 +334,9 @@ def test_the_pipeline_does_what_its_stages_do(spark, small_docs):
             scores = dict(toxicity.scored(small_docs, toxicity.train(small_docs, spark.read.parquet(f"{SMALL}/labels.parquet")), ["doc_id"]).collect())
             assert set(after) == {k for k, score in scores.items() if score < toxicity.THRESHOLD}
     name, stage = corpus_pipeline.STAGES[-1]
-    check_packing(stage(spark, docs, SMALL).collect(), {r.doc_id: r.text for r in docs.collect()})
+    kept = {r.doc_id: r.text for r in docs.collect()}
+    check_packing(stage(spark, docs, SMALL).collect(), kept)
+    check_packing(corpus_pipeline.run(spark, SMALL).collect(), kept)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "packing"]
 
 
