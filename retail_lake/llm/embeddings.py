@@ -39,8 +39,10 @@ TARGET_RECALL = 0.999
 SAMPLE, LEAST_WORDS, MOST_WORDS = 20_000, 4, 1024
 #: Vectors a cell has on average where these words allow it: a vector travels once for
 #: each cell that it visits, so larger cells save more of the shuffle than they cost in
-#: products. Vectors or queries of a block.
-CELL, BLOCK = 1024, 1024
+#: products.
+CELL = 1024
+#: Vectors of a cell, and queries to it, that one block compares.
+MEMBERS, QUERIES = 2048, 4096
 #: Up to so many vectors of a length share one cell.
 FEW = 64
 ROUNDS = 12
@@ -239,8 +241,8 @@ def links(classes: DataFrame, kind: type, least: float, target: float) -> DataFr
     held = classes.sparkSession.sparkContext.broadcast(grids(classes, kind, least, target))
     placed = stored(classes.mapInArrow(lambda b: _visits(b, held, kind), _VISITS), "cells")
     asked = placed.select("id", "weight", "vector", "home", F.explode("cells").alias("cell"))
-    sizes = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("member_blocks"))
-    loads = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("query_blocks"))
+    sizes = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("member_blocks"))
+    loads = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("query_blocks"))
     dealt = stored(sizes.join(loads, "cell"), "blocks")
     block = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))

@@ -192,7 +192,8 @@ def test_vectors_of_the_table(spark):
 def test_vector_recall_in_dense_and_loose_groups(spark, kind, monkeypatch):
     """A tight group over several blocks, a loose one around the threshold, copies, a
     scaled copy, and vectors that link with nothing."""
-    monkeypatch.setattr(embeddings, "BLOCK", 40)
+    monkeypatch.setattr(embeddings, "MEMBERS", 40)
+    monkeypatch.setattr(embeddings, "QUERIES", 40)
     monkeypatch.setattr(embeddings, "CELL", 8)
     rng = np.random.default_rng(5)
     center, loose = rng.normal(size=16), rng.normal(size=16)
@@ -215,7 +216,7 @@ def test_vector_recall_in_dense_and_loose_groups(spark, kind, monkeypatch):
 def test_vectors_of_each_length_link_among_themselves(spark, monkeypatch, few, cell, block):
     """Lengths of many vectors and of few, one of a single component, with many cells a
     length and with one."""
-    for name, value in (("FEW", few), ("CELL", cell), ("BLOCK", block)):
+    for name, value in (("FEW", few), ("CELL", cell), ("MEMBERS", block), ("QUERIES", 2 * block)):
         monkeypatch.setattr(embeddings, name, value)
     rng = np.random.default_rng(6)
     rows = []
