@@ -228,6 +228,11 @@ UNION ALL SELECT 'served', 'mart_daily_sales', count(*), sum(revenue) FROM daily
 UNION ALL SELECT 'served', 'mart_sales_by_category', count(*), sum(revenue) FROM by_category
 UNION ALL SELECT 'served', 'mart_top_customers', count(*), sum(lifetime_value) FROM top_customers"""
 
+_MARTS = """
+SELECT 'mart_daily_sales' AS mart, count(*) AS row_count, CAST(sum(revenue) AS DECIMAL(38,2)) AS amount FROM daily
+UNION ALL SELECT 'mart_sales_by_category', count(*), sum(revenue) FROM by_category
+UNION ALL SELECT 'mart_top_customers', count(*), sum(lifetime_value) FROM top_customers"""
+
 ORACLES = {
     "clean_customers": _CLEAN_CUSTOMERS,
     "clean_products": _with(*_P, select="SELECT * FROM clean_products"),
@@ -274,6 +279,7 @@ ORACLES = {
     "csv_reordered": _CLEAN_CUSTOMERS,
     "json_roundtrip": _ORDER_LINES,
     "layer_roundtrip": _with(*_C, *_P, *_F, _DATES, _DAILY, _CATEGORY, _TOP, select=_LAYERS),
+    "mart_refresh": _with(*_C, *_P, *_F, _DATES, _DAILY, _CATEGORY, _TOP, select=_MARTS),
     "partition_pruned_month": _with(
         *_L,
         select="SELECT order_date, count(*) AS lines, "
