@@ -39,3 +39,15 @@ def unmatched(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """
     held = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     return held.join(dimension.select(key), key, "left_anti")
+
+
+def unseen(df: DataFrame, published: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key (a column of both) ``published`` lacks; rows without a key stay.
+
+    The published keys are cut to those that ``df`` touches first. That semi join
+    broadcasts the touched keys where Spark finds them small, so that a small delivery
+    shuffles nothing of what was published, of which only the key column is read.
+    """
+    touched = df.select(key).distinct()
+    known = published.select(key).join(touched, key, "left_semi").distinct()
+    return df.join(known, key, "left_anti")

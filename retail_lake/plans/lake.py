@@ -5,16 +5,19 @@ seeing the last published version until ``publish`` adds a publication: one smal
 file that names the folders of all tables of the layer. It appears as a whole or
 not at all, and a reader takes the latest, in any session or process; tables of
 two publications never mix. No data file is moved or overwritten, which holds on
-object stores too. Views of the catalog show the same to SQL users of the session.
+object stores too. A table's version is a list of parts, one unless later runs added
+their rows to it; an added part leaves the folders of the others alone. Views of the catalog show the same to SQL users of the session.
 """
 
 import tempfile
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
+from py4j.protocol import Py4JError
 from pyarrow import fs
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -27,7 +30,7 @@ SHOWN = {"served": "gold"}
 
 _PUBLICATION = (
     "version bigint, publication string, layer string, table string, path string, rows bigint,"
-    " columns array<string>, where string"
+    " columns array<string>, where string, part int, types map<string, string>"
 )
 
 
@@ -37,8 +40,9 @@ class NotPublished(LookupError):
 
 @dataclass(frozen=True)
 class Staged:
-    """A written, not yet published table. ``columns`` and ``where`` narrow what
-    its view shows of the written rows."""
+    """A written, not yet published table, or rows to add to one. ``columns`` and
+    ``where`` narrow what its view shows of the written rows; ``types`` are those of
+    all that was written, which the values of partition folders don't tell."""
 
     layer: str
     table: str
@@ -47,6 +51,22 @@ class Staged:
     columns: tuple[str, ...]
     where: str | None = None
     tallies: Mapping[str, int] = field(default_factory=dict, compare=False)
+    types: Mapping[str, str] = field(default_factory=dict, compare=False)
+
+
+@dataclass(frozen=True)
+class Version:
+    """What is published of a table: its parts, in the order they were added."""
+
+    parts: tuple[Staged, ...]
+
+    @property
+    def rows(self) -> int:
+        return sum(part.rows for part in self.parts)
+
+    def added(self, part: Staged) -> "Version":
+        """With a further part, unless it adds no rows."""
+        return Version((*self.parts, part)) if part.rows or not self.parts else self
 
 
 @dataclass(frozen=True)
@@ -70,10 +90,16 @@ class Lake:
         path = f"{self.root}/{layer}/{table}/{run_id}-{new_run_id()[:12]}"
         observed = Observation()
         counts = [F.count_if(condition).alias(f"tally_{name}") for name, condition in (tallies or {}).items()]
-        counted = df.observe(observed, F.count(F.lit(1)).alias("rows"), *counts)
-        write_table(counted, path, self.fmt, partition_by)
-        found = {name: observed.get[f"tally_{name}"] for name in tallies or {}}
-        return Staged(layer, table, path, observed.get["rows"], tuple(df.columns), tallies=found)
+        counts.append(F.count(F.lit(1)).alias("rows"))
+        write_table(df.observe(observed, *counts), path, self.fmt, partition_by)
+        try:
+            counted = observed.get
+        except Py4JError:
+            # Adaptive execution drops the observation of a plan it finds to be empty on the way.
+            written = self.spark.read.schema(df.schema).format(self.fmt).load(path)
+            counted = written.agg(*counts).first().asDict()
+        found = {name: counted[f"tally_{name}"] for name in tallies or {}}
+        return Staged(layer, table, path, counted["rows"], tuple(df.columns), tallies=found, types=dict(df.dtypes))
 
     def stage_all(
         self,
@@ -94,14 +120,20 @@ class Lake:
             ]
             return [write.result() for write in writes]
 
-    def load(self, staged: Staged) -> DataFrame:
-        df = self.spark.read.format(self.fmt).load(staged.path)
-        if staged.where:
-            df = df.where(staged.where)
-        return df.select(*staged.columns)
+    def load(self, version: Staged | Version) -> DataFrame:
+        """Its rows. Columns that only some parts have are NULL in the others."""
+        if isinstance(version, Version):
+            parts = [self.load(part) for part in version.parts]
+            return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+        df = self.spark.read.format(self.fmt).load(version.path)
+        if version.where:
+            df = df.where(version.where)
+        found = dict(df.dtypes)
+        typed = [c for c in version.columns if version.types.get(c, found[c]) != found[c]]
+        return df.select(*version.columns).withColumns({c: F.col(c).cast(version.types[c]) for c in typed})
 
     def _log(self, layer: str) -> DataFrame | None:
-        """A row per table and publication; None if nothing was published yet."""
+        """A row per part of a table and publication; None if nothing was published yet."""
         try:
             return self.spark.read.schema(_PUBLICATION).json(f"{self.root}/_published/{layer}")
         except AnalysisException as missing:
@@ -111,20 +143,20 @@ class Lake:
 
     def _latest(self, layer: str) -> list[Row]:
         """The rows of the last publication, picked by an aggregate: what reaches the driver
-        is a row per table, however often was published."""
+        is a row per part of a table, however often was published."""
         if (log := self._log(layer)) is None:
             return []
         tables = F.collect_list(F.struct(*log.columns)).alias("tables")
         last = log.groupBy("version", "publication").agg(tables).agg(F.max_by("tables", F.struct("version", "publication")).alias("tables"))
         return last.first()["tables"] or []
 
-    def published(self, layer: str) -> dict[str, Staged]:
+    def published(self, layer: str) -> dict[str, Version]:
         """The current version of each published table by name."""
-        return {r["table"]: _staged(r) for r in self._latest(SHOWN.get(layer, layer))}
+        return _versions(self._latest(SHOWN.get(layer, layer)))
 
-    def publish(self, tables: Iterable[Staged]) -> None:
+    def publish(self, tables: Iterable[Staged], add_to: Collection[str] = ()) -> None:
         """Make the tables' versions the current ones, all of a layer at once; its other
-        tables keep theirs."""
+        tables keep theirs, and those of ``add_to`` keep their parts before the new one."""
         layers: dict[str, dict[str, Staged]] = {}
         for staged in tables:
             layers.setdefault(staged.layer, {})[staged.table] = staged
@@ -133,8 +165,15 @@ class Lake:
             nothing.write.mode("ignore").json(f"{self.root}/_published/{layer}")  # at first
             before = self._latest(layer)
             mark = {"version": max((r["version"] for r in before), default=0) + 1, "publication": new_run_id()}
-            current = {r["table"]: _staged(r) for r in before} | new
-            rows = [mark | {k: v for k, v in asdict(s).items() if k != "tallies"} for s in current.values()]
+            current = _versions(before)
+            for name, staged in new.items():
+                kept = current.get(name, Version(())) if name in add_to else Version(())
+                current[name] = kept.added(staged)
+            rows = [
+                mark | {"part": n} | {k: v for k, v in asdict(part).items() if k != "tallies"}
+                for version in current.values()
+                for n, part in enumerate(version.parts)
+            ]
             publication = self.spark.createDataFrame(rows, _PUBLICATION).coalesce(1)
             publication.write.mode("append").json(f"{self.root}/_published/{layer}")
             self.register(layer)
@@ -142,13 +181,17 @@ class Lake:
     def register(self, layer: str) -> None:
         """Views of the layer's published tables in this session's catalog."""
         self.create_database(layer)
-        for staged in self.published(layer).values():
-            shown = ", ".join(f"`{c}`" for c in staged.columns)
-            condition = f" WHERE {staged.where}" if staged.where else ""
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.qualified(staged.layer, staged.table)}"
-                f" AS SELECT {shown} FROM {self.fmt}.`{staged.path}`{condition}"
-            )
+        for name, version in self.published(layer).items():
+            shown = list(dict.fromkeys(c for part in version.parts for c in part.columns))
+            selects = " UNION ALL ".join(self._select(part, shown) for part in version.parts)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(layer, name)} AS {selects}")
+
+    def _select(self, part: Staged, shown: Sequence[str]) -> str:
+        """The SQL of one part of a view of the columns ``shown``."""
+        own = {c: f"CAST(`{c}` AS {part.types[c]})" if c in part.types else f"`{c}`" for c in part.columns}
+        columns = ", ".join(f"{own.get(c, 'NULL')} AS `{c}`" for c in shown)
+        condition = f" WHERE {part.where}" if part.where else ""
+        return f"SELECT {columns} FROM {self.fmt}.`{part.path}`{condition}"
 
     def expire(self, keep: int = 3, older_than: float = 86_400.0) -> list[str]:
         """Delete written folders that none of a layer's last ``keep`` publications names
@@ -210,8 +253,13 @@ class Lake:
         return f"{self.database(layer)}.{table}"
 
 
-def _staged(row: Row) -> Staged:
-    return Staged(row["layer"], row["table"], row["path"], row["rows"], tuple(row["columns"]), row["where"])
+def _versions(rows: Iterable[Row]) -> dict[str, Version]:
+    """Versions by table from a row per part."""
+    parts: dict[str, list[Staged]] = {}
+    for r in sorted(rows, key=lambda r: r["part"] or 0):
+        part = Staged(r["layer"], r["table"], r["path"], r["rows"], tuple(r["columns"]), r["where"], types=r["types"] or {})
+        parts.setdefault(r["table"], []).append(part)
+    return {name: Version(tuple(found)) for name, found in parts.items()}
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:

@@ -279,6 +279,7 @@ ORACLES = {
     "csv_reordered": _CLEAN_CUSTOMERS,
     "json_roundtrip": _ORDER_LINES,
     "layer_roundtrip": _with(*_C, *_P, *_F, _DATES, _DAILY, _CATEGORY, _TOP, select=_LAYERS),
+    "incremental_roundtrip": _with(*_C, *_P, *_F, _DATES, _DAILY, _CATEGORY, _TOP, select=_LAYERS),
     "mart_refresh": _with(*_C, *_P, *_F, _DATES, _DAILY, _CATEGORY, _TOP, select=_MARTS),
     "partition_pruned_month": _with(
         *_L,

@@ -131,6 +131,22 @@ def _layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples.write_landing(spark, sf_dir, f"{folder}/landing")
     lake = Lake(spark, f"{folder}/lake", name=f"roundtrip_{new_run_id()}")
     run(lake, f"{folder}/landing", limits=Thresholds(min_order_items=1))
+    return _published_totals(lake)
+
+
+def _incremental_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a run over the first of several deliveries and one that adds the
+    others, which bring new keys beside redelivered ones."""
+    folder = scratch_folder(spark, "incremental_roundtrip")
+    samples.write_landing(spark, sf_dir, f"{folder}/landing", staggered=True)
+    lake = Lake(spark, f"{folder}/lake", name=f"incremental_{new_run_id()}")
+    limits = Thresholds(min_order_items=1)
+    run(lake, f"{folder}/landing", ("bronze", "silver"), limits, batches=[1])
+    run(lake, f"{folder}/landing", limits=limits, batches=[2, 3], incremental=True)
+    return _published_totals(lake)
+
+
+def _published_totals(lake: Lake) -> DataFrame:
     published = {
         "silver": {"customers": None, "products": "unit_price", "order_items": "net_amount"},
         "served": dict(zip(SERVED, (None, "unit_price", None, "net_amount", "revenue", "revenue", "lifetime_value"))),
@@ -213,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "csv_reordered": _csv_reordered,
     "json_roundtrip": _json_roundtrip,
     "layer_roundtrip": _layer_roundtrip,
+    "incremental_roundtrip": _incremental_roundtrip,
     "mart_refresh": _mart_refresh,
     "partition_pruned_month": _partition_pruned_month,
 }

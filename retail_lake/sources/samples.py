@@ -157,8 +157,17 @@ def write_json_export(events: DataFrame, path: str) -> None:
     events.drop(CORRUPT).write.partitionBy(BATCH).json(path)
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """Lay the sample data out as the source systems export it."""
-    write_csv_export(customers(spark, sf_dir), f"{landing}/customers.csv")
-    write_csv_export(products(spark, sf_dir), f"{landing}/products.csv")
-    write_json_export(order_events(spark, sf_dir), f"{landing}/orders.json")
+def write_landing(spark: SparkSession, sf_dir: str, landing: str, staggered: bool = False) -> None:
+    """Lay the sample data out as the source systems export it. ``staggered`` puts all
+    deliveries of a tenth of the customers and products, and of the orders of March 1997,
+    one batch later, so that each later batch has new keys beside redelivered ones."""
+    tenth = lambda key: F.pmod(F.xxhash64(key), F.lit(10)) == 0
+    late = {
+        "customers": tenth("customer_id"),
+        "products": tenth("product_id"),
+        "orders": F.coalesce(F.col("order_ts").startswith("1997-03"), F.lit(False)),
+    }
+    moved = lambda df, name: df.withColumn(BATCH, F.col(BATCH) + late[name].cast("int")) if staggered else df
+    write_csv_export(moved(customers(spark, sf_dir), "customers"), f"{landing}/customers.csv")
+    write_csv_export(moved(products(spark, sf_dir), "products"), f"{landing}/products.csv")
+    write_json_export(moved(order_events(spark, sf_dir), "orders"), f"{landing}/orders.json")
