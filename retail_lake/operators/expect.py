@@ -25,16 +25,19 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def unique(column: str) -> Expectation:
-    """All values differ. NULL counts as one value: a single NULL passes, two fail."""
-    nulls, values = f"nulls_{column}", f"values_{column}"
+def unique(column: str, *more: str) -> Expectation:
+    """All values differ. NULL counts as one value: a single NULL passes, two fail. With
+    ``more`` columns the values are those of all of them together."""
+    named = ", ".join((column, *more))
+    nulls, values = f"nulls_{named}", f"values_{named}"
+    value = F.when(F.col(column).isNotNull(), F.struct(column, *more)) if more else F.col(column)
     distinct = F.col(values) + (F.col(nulls) > 0).cast("int")
     return Expectation(
-        check=f"unique[{column}]",
+        check=f"unique[{named}]",
         measures={
             ROWS: _count(),
             nulls: F.count_if(F.col(column).isNull()),
-            values: F.count_distinct(column),
+            values: F.count_distinct(value),
         },
         passed=F.col(ROWS) == distinct,
         detail=F.format_string("%d rows / %d distinct", F.col(ROWS), distinct),

@@ -45,10 +45,10 @@ class Thresholds:
 
 def quality_results(tables: Mapping[str, DataFrame], limits: Thresholds) -> DataFrame:
     """The gate's checks over silver customers, products and order_items, in one
-    aggregation per table."""
+    aggregation per table. Where products have numbers, id and number are unique together."""
     customers = expect.evaluate(tables["customers"], expect.unique("customer_id"))
     products = expect.evaluate(
-        tables["products"], expect.unique("product_id"), expect.non_negative("unit_price")
+        tables["products"], expect.unique(*silver.product_key(tables["products"])), expect.non_negative("unit_price")
     )
     order_items = expect.evaluate(
         tables["order_items"],
@@ -117,9 +117,12 @@ def build_silver(
         "unreadable_events": silver.unreadable_events(raw["orders"]),
         "taken": lake.spark.createDataFrame([(n, p.path) for n in SOURCES for p in new[n]], _TAKEN).coalesce(1),
     }
-    for name, key in (("customers", "customer_id"), ("products", "product_id")):
-        if name in before:
-            tables[name] = unseen(tables[name], lake.load(before[name]), key)
+    if "customers" in before:
+        tables["customers"] = unseen(tables["customers"], lake.load(before["customers"]), "customer_id")
+    if "products" in before:
+        known = lake.load(before["products"])
+        key = [name for name in silver.product_key(tables["products"]) if name in known.columns]
+        tables["products"] = unseen(tables["products"], known, *key)
     layout = {"order_items": ("verdict", "order_month")}
     verdicts = {v: F.col("verdict") == v for v in ("accepted", "rejected")}
     staged = lake.stage_all("silver", tables, run_id, layout, {"order_items": verdicts})
