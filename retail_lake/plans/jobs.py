@@ -125,7 +125,7 @@ def build_silver(
         tables["products"] = unseen(tables["products"], known, *key)
     layout = {"order_items": ("verdict", "order_month")}
     verdicts = {v: F.col("verdict") == v for v in ("accepted", "rejected")}
-    staged = lake.stage_all("silver", tables, run_id, layout, {"order_items": verdicts})
+    staged = lake.stage_all("silver", tables, run_id, layout, {"order_items": verdicts}, gathered=layout)
     written = {s.table: s for s in staged}
     written |= _by_verdict(written["order_items"])
 
@@ -169,8 +169,9 @@ def _new_orders(lake: Lake, raw_orders: DataFrame, before: Mapping[str, Version]
 
 def _labelled_lines(raw_orders: DataFrame) -> DataFrame:
     """Accepted and rejected order lines together, so that one pass writes both:
-    accepted ones by month, so that a month's readers open its files only."""
-    lines = silver.conformed_lines(silver.first_events(raw_orders)).labelled
+    accepted ones by month, so that a month's readers open its files only. Their documents
+    are gathered by month."""
+    lines = silver.conformed_lines(silver.by_month(silver.first_events(raw_orders))).labelled
     return lines.withColumns(
         {
             "verdict": F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected"),

@@ -84,14 +84,15 @@ class Lake:
         run_id: str,
         partition_by: Sequence[str] = (),
         tallies: Mapping[str, Column] | None = None,
+        gathered: bool = False,
     ) -> Staged:
         """Write ``df`` to a fresh folder, counting its rows on the way, and on request
-        the rows that meet each condition of ``tallies``."""
+        the rows that meet each condition of ``tallies``. For ``gathered`` see ``write_table``."""
         path = f"{self.root}/{layer}/{table}/{run_id}-{new_run_id()[:12]}"
         observed = Observation()
         counts = [F.count_if(condition).alias(f"tally_{name}") for name, condition in (tallies or {}).items()]
         counts.append(F.count(F.lit(1)).alias("rows"))
-        write_table(df.observe(observed, *counts), path, self.fmt, partition_by)
+        write_table(df.observe(observed, *counts), path, self.fmt, partition_by, gathered)
         try:
             counted = observed.get
         except Py4JError:
@@ -108,6 +109,7 @@ class Lake:
         run_id: str,
         partition_by: Mapping[str, Sequence[str]] | None = None,
         tallies: Mapping[str, Mapping[str, Column]] | None = None,
+        gathered: Collection[str] = (),
     ) -> list[Staged]:
         """Write independent tables side by side, so that the last tasks of a large
         one leave no executors idle while small ones wait."""
@@ -115,7 +117,7 @@ class Lake:
         layout = partition_by or {}
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
             writes = [
-                pool.submit(stage, layer, name, df, run_id, layout.get(name, ()), (tallies or {}).get(name))
+                pool.submit(stage, layer, name, df, run_id, layout.get(name, ()), (tallies or {}).get(name), name in gathered)
                 for name, df in tables.items()
             ]
             return [write.result() for write in writes]
@@ -262,13 +264,16 @@ def _versions(rows: Iterable[Row]) -> dict[str, Version]:
     return {name: Version(tuple(found)) for name, found in parts.items()}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), gathered: bool = False
+) -> None:
     """Write to ``path``, which must not exist yet. Rows of one partition value are brought together first,
-    in files of the advisory size: a hot value is split over several tasks, and
-    small ones share a task instead of leaving a file per task behind."""
-    if partition_by:
+    unless they are ``gathered`` already, in files of the advisory size: a hot value is
+    split over several tasks, and small ones share a task instead of leaving a file per task behind."""
+    if partition_by and not gathered:
         df = df.hint("rebalance", *partition_by)
-    df.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(path)
+    writer = df.write.format(fmt).option("compression", "zstd")
+    writer.mode("errorifexists").partitionBy(*partition_by).save(path)
 
 
 def _folders(store: fs.FileSystem, path: str) -> list[fs.FileInfo]:
